@@ -46,6 +46,15 @@ def as_list(v: str) -> str:
     return f"try_variant_get({v}, '$', 'array<variant>')"
 
 
+def as_record(v: str, names, many: bool = False) -> str:
+    """Object as a struct of its named members (VARIANT each); NULL when it is none.
+
+    One cast instead of a lookup per member.  ``many`` reads a list of objects.
+    """
+    record = f"struct<{', '.join(f'`{n}`: variant' for n in names)}>"
+    return f"try_variant_get({v}, '$', '{f'array<{record}>' if many else record}')"
+
+
 def object_entries(text: str) -> str:
     """Members of a JSON object text, in document order."""
     return f"map_entries(from_json({text}, 'map<string,variant>', {JSON_OPTIONS}))"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from larder.functions.variants import (
     JSON_OPTIONS,
     as_object,
+    as_record,
     falsy,
     falsy_text,
     let,
@@ -45,8 +46,21 @@ def image_entries(text: str) -> str:
     )
 
 
-def _truthy_sizes(sizes: str) -> str:
-    return f"map_filter({as_object(sizes)}, (k, s) -> NOT {falsy('s')})"
+def _named_sizes(sizes: str) -> str:
+    """(key, size) per size that is not falsy; ``size`` is NULL when it is no object."""
+    return (
+        f"transform(filter(map_entries({as_object(sizes)}), s -> NOT {falsy('s.value')}), "
+        f"s -> named_struct('key', s.key, 'size', {as_record('s.value', ('h', 'w'))}))"
+    )
+
+
+def _size_struct(named: str) -> str:
+    fields = ", ".join(
+        f"'{size}', get(transform(filter({named}, s -> s.key = '{size}'), s -> "
+        f"named_struct('h', {to_int('s.size.h')}, 'w', {to_int('s.size.w')})), 0)"
+        for size in SIZES
+    )
+    return f"CASE WHEN size({named}) > 0 THEN named_struct({fields}) END"
 
 
 def image_sizes(image: str) -> str:
@@ -54,29 +68,19 @@ def image_sizes(image: str) -> str:
 
     Sizes under other names still count as sizes: they give a struct of NULLs.
     """
-    fields = ", ".join(
-        f"'{size}', CASE WHEN element_at(z, '{size}') IS NOT NULL THEN named_struct("
-        f"'h', {to_int(member(f'element_at(z, {chr(39)}{size}{chr(39)})', 'h'))}, "
-        f"'w', {to_int(member(f'element_at(z, {chr(39)}{size}{chr(39)})', 'w'))}) END"
-        for size in SIZES
-    )
-    return let(
-        _truthy_sizes(member(image, "sizes")),
-        "z",
-        f"CASE WHEN cardinality(z) > 0 THEN named_struct({fields}) END",
-    )
+    return let(_named_sizes(member(image, "sizes")), "z", _size_struct("z"))
 
 
-def sizes_fit(image: str) -> str:
+def _sizes_fit(sizes: str, named: str) -> str:
     """False when a named size, kept or not, is no (h, w) object."""
-    sizes = member(image, "sizes")
     one = (
-        f"{as_object('s')} IS NOT NULL "
-        f"AND NOT {misfit(member('s', 'h'), to_int(member('s', 'h')))} "
-        f"AND NOT {misfit(member('s', 'w'), to_int(member('s', 'w')))}"
+        f"s.size IS NOT NULL AND NOT {misfit('s.size.h', to_int('s.size.h'))} "
+        f"AND NOT {misfit('s.size.w', to_int('s.size.w'))}"
     )
-    each = f"forall(map_values(z), s -> {one})"
-    return f"({falsy(sizes)} OR coalesce({let(_truthy_sizes(sizes), 'z', each)}, false))"
+    return f"({falsy(sizes)} OR coalesce(forall({named}, s -> {one}), false))"
+
+
+IMAGE_MEMBERS = ("key", "sizes", "imgid", "rev", "uploaded_t", "uploader")
 
 
 def images_array(text: str, entries: str | None = None) -> str:
@@ -85,25 +89,19 @@ def images_array(text: str, entries: str | None = None) -> str:
     ``text`` is the raw JSON text of the map.  Absent and empty maps give an
     empty array; text that is no object gives NULL.
     """
-    image = "e.value"
     value = (
-        f"named_struct('key', coalesce({to_str(member(image, 'key'))}, e.key), "
-        f"'imgid', {to_int(member(image, 'imgid'))}, "
-        f"'rev', {to_int(member(image, 'rev'))}, "
-        f"'sizes', {image_sizes(image)}, "
-        f"'uploaded_t', {to_bigint(member(image, 'uploaded_t'))}, "
-        f"'uploader', {to_str(member(image, 'uploader'))})"
+        f"named_struct('key', coalesce({to_str('r.key')}, e.key), "
+        f"'imgid', {to_int('r.imgid')}, 'rev', {to_int('r.rev')}, "
+        f"'sizes', {_size_struct('z')}, "
+        f"'uploaded_t', {to_bigint('r.uploaded_t')}, 'uploader', {to_str('r.uploader')})"
     )
     checks = " AND ".join(
-        [
-            f"{as_object(image)} IS NOT NULL",
-            sizes_fit(image),
-            f"NOT {misfit(member(image, 'key'), to_str(member(image, 'key')))}",
-        ]
-        + [f"NOT {misfit(member(image, n), f'i.{n}')}" for n in ("imgid", "rev", "uploaded_t", "uploader")]
+        ["r IS NOT NULL", _sizes_fit("r.sizes", "z"), f"NOT {misfit('r.key', to_str('r.key'))}"]
+        + [f"NOT {misfit(f'r.{n}', f'i.{n}')}" for n in ("imgid", "rev", "uploaded_t", "uploader")]
     )
     checked = let(value, "i", f"CASE WHEN {checks} THEN i END")
-    array = f"transform({entries or image_entries(text)}, e -> {checked})"
+    image = let(as_record("e.value", IMAGE_MEMBERS), "r", let(_named_sizes("r.sizes"), "z", checked))
+    array = f"transform({entries or image_entries(text)}, e -> {image})"
     return f"CASE WHEN {falsy_text(text)} THEN array() ELSE {array} END"
 
 

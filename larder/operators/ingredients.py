@@ -17,10 +17,9 @@ from pyspark.sql import functions as F
 
 from larder.functions.variants import (
     as_list,
-    as_object,
+    as_record,
     float_text,
     let,
-    member,
     nothing,
     to_bigint,
     to_double,
@@ -29,14 +28,17 @@ from larder.functions.variants import (
 from larder.schemas import ingredient_fields
 
 DEPTH = 6
+FIELD_NAMES = tuple(name for name, _ in ingredient_fields())
+PRUNED_NAMES = ("id", "text", "ingredients")
 # Marks inside the text under construction; JSON text never holds raw controls.
 INVALID, DEEPER = "\\u0001", "\\u0002"
 
 
-def _list_text(v: str, render, level: int) -> str:
+def _list_text(v: str, names, render, level: int) -> str:
     i = f"i{level}"
+    records = as_record(v, names, many=True)
     return (
-        f"concat('[', array_join(transform({as_list(v)}, {i} -> {render(i, level)}), ',', "
+        f"concat('[', array_join(transform({records}, {i} -> {render(i, level)}), ',', "
         f"'{INVALID}'), ']')"
     )
 
@@ -45,10 +47,10 @@ def _ingredient_text(v: str, level: int, depth: int) -> str:
     """JSON text of one ingredient: every declared field, NULL when one does not fit."""
     parts = []
     for name, kind in ingredient_fields():
-        m = member(v, name)
+        m = f"{v}.{name}"
         if kind == "LIST":
             if level < depth:
-                text = _list_text(m, lambda i, n: _ingredient_text(i, n, depth), level + 1)
+                text = _list_text(m, FIELD_NAMES, lambda i, n: _ingredient_text(i, n, depth), level + 1)
             else:
                 text = f"CASE WHEN {as_list(m)} IS NOT NULL THEN '{DEEPER}' END"
         elif kind == "FLOAT":
@@ -59,12 +61,12 @@ def _ingredient_text(v: str, level: int, depth: int) -> str:
             text = f"CASE WHEN {to_str(m)} IS NOT NULL THEN to_json({m}) END"
         parts.append(f"'\"{name}\":', CASE WHEN {nothing(m)} THEN 'null' ELSE {text} END")
     body = ", ',', ".join(parts)
-    return f"CASE WHEN {as_object(v)} IS NOT NULL THEN concat('{{', {body}, '}}') END"
+    return f"CASE WHEN {v} IS NOT NULL THEN concat('{{', {body}, '}}') END"
 
 
 def ingredients_draft(v: str, depth: int = DEPTH) -> str:
     """JSON text of an ingredient list, possibly holding marks; NULL if it is no list."""
-    return _list_text(v, lambda i, n: _ingredient_text(i, n, depth), 1)
+    return _list_text(v, FIELD_NAMES, lambda i, n: _ingredient_text(i, n, depth), 1)
 
 
 def settle(draft: str) -> str:
@@ -166,11 +168,11 @@ def deep_ingredients(texts: pd.Series) -> pd.Series:
 def _pruned_text(v: str, level: int, depth: int) -> str:
     parts = []
     for name in ("id", "text"):
-        m = member(v, name)
+        m = f"{v}.{name}"
         parts.append(f"CASE WHEN {m} IS NOT NULL THEN concat('\"{name}\":', to_json({m})) END")
-    m = member(v, "ingredients")
+    m = f"{v}.ingredients"
     if level < depth:
-        nested = _list_text(m, lambda i, n: _pruned_text(i, n, depth), level + 1)
+        nested = _list_text(m, PRUNED_NAMES, lambda i, n: _pruned_text(i, n, depth), level + 1)
     else:
         nested = f"'{DEEPER}'"
     listed = f"CASE WHEN size({as_list(m)}) > 0 THEN {nested} ELSE 'null' END"
@@ -180,7 +182,7 @@ def _pruned_text(v: str, level: int, depth: int) -> str:
 
 def pruned_draft(v: str, depth: int = DEPTH) -> str:
     """Ingredient list reduced to id, text and sub-ingredients, as JSON text."""
-    return _list_text(v, lambda i, n: _pruned_text(i, n, depth), 1)
+    return _list_text(v, PRUNED_NAMES, lambda i, n: _pruned_text(i, n, depth), 1)
 
 
 def _prune(ingredient: dict) -> dict:

@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 from larder.functions.variants import (
-    as_list,
-    as_object,
+    as_record,
     falsy_text,
     last_wins,
     let,
-    member,
     misfit,
     object_entries,
     to_bigint,
@@ -44,14 +42,12 @@ def packagings(v: str) -> str:
         "shape": to_str,
         "weight_measured": to_float,
     }
-    value = ", ".join(f"'{n}', {convert(member('e', n))}" for n, convert in fields.items())
-    checks = " AND ".join(f"NOT {misfit(member('e', n), f'p.{n}')}" for n in fields)
+    value = ", ".join(f"'{n}', {convert(f'e.{n}')}" for n, convert in fields.items())
+    checks = " AND ".join(f"NOT {misfit(f'e.{n}', f'p.{n}')}" for n in fields)
     one = let(
-        f"named_struct({value})",
-        "p",
-        f"CASE WHEN {as_object('e')} IS NOT NULL AND {checks} THEN p END",
+        f"named_struct({value})", "p", f"CASE WHEN e IS NOT NULL AND {checks} THEN p END"
     )
-    return f"transform({as_list(v)}, e -> {one})"
+    return f"transform({as_record(v, fields, many=True)}, e -> {one})"
 
 
 # The category codes a product may carry.

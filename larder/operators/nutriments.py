@@ -6,10 +6,10 @@ from larder.functions.variants import (
     JSON_OPTIONS,
     as_list,
     as_object,
+    as_record,
     falsy_text,
     last_wins,
     let,
-    member,
     misfit,
     object_entries,
     to_float,
@@ -111,14 +111,11 @@ def pivot_suffixes(text: str) -> str:
     element is NULL when a value does not fit.  Text that is no object gives an
     array holding one NULL.
     """
-    def source(slot: str) -> str:
-        return f"element_at(v, concat(n, '\\u0001', '{slot}'))"
-    value = _nutrient("n", {slot: _slot_value(slot, source(slot)) for slot in SLOTS})
-    checks = " AND ".join(f"NOT {misfit(source(slot), f't.`{slot}`')}" for slot in SLOTS)
-    structs = (
-        "transform(array_distinct(transform(a, x -> x.name)), "
-        f"n -> {let(value, 't', f'CASE WHEN {checks} THEN t END')})"
-    )
+    raw = ", ".join(f"'{slot}', element_at(v, concat(n, '\\u0001', '{slot}'))" for slot in SLOTS)
+    value = _nutrient("n", {slot: _slot_value(slot, f"r.`{slot}`") for slot in SLOTS})
+    checks = " AND ".join(f"NOT {misfit(f'r.`{slot}`', f't.`{slot}`')}" for slot in SLOTS)
+    checked = let(f"named_struct({raw})", "r", let(value, "t", f"CASE WHEN {checks} THEN t END"))
+    structs = f"transform(array_distinct(transform(a, x -> x.name)), n -> {checked})"
     keyed = "transform(a, x -> named_struct('key', concat(x.name, '\\u0001', x.slot), 'value', x.value))"
     lookup = f"map_from_entries({let(keyed, 'k', last_wins('k'))})"
     pivoted = let(assignments(let("m", "d", last_wins("d"))), "a", let(lookup, "v", structs))
@@ -139,7 +136,7 @@ def aggregated_nutrients(text: str) -> str:
         f"from_json({text}, 'aggregated_set struct<nutrients map<string,variant>, "
         f"per string, preparation string>', {JSON_OPTIONS}).aggregated_set"
     )
-    amount, unit = to_float(member("e.value", "value")), to_str(member("e.value", "unit"))
+    amount, unit = to_float("r.value"), to_str("r.unit")
     per_100 = "g.per IN ('100g', '100ml')"
     sold = "g.preparation = 'as_sold'"
     none = "CAST(NULL AS FLOAT)"
@@ -155,11 +152,10 @@ def aggregated_nutrients(text: str) -> str:
         },
     )
     fits = (
-        f"{as_object('e.value')} IS NOT NULL "
-        f"AND NOT {misfit(member('e.value', 'value'), amount)} "
-        f"AND NOT {misfit(member('e.value', 'unit'), unit)}"
+        f"r IS NOT NULL AND NOT {misfit('r.value', amount)} AND NOT {misfit('r.unit', unit)}"
     )
-    each = f"transform(d, e -> CASE WHEN {fits} THEN {value} END)"
+    record = as_record("e.value", ("value", "unit"))
+    each = f"transform(d, e -> {let(record, 'r', f'CASE WHEN {fits} THEN {value} END')})"
     return let(
         parsed,
         "g",
