@@ -7,6 +7,9 @@ tells the two apart.
 
 from __future__ import annotations
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 JSON_OPTIONS = "map('allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
 
 
@@ -79,6 +82,16 @@ def let(value: str, name: str, body: str) -> str:
     return f"transform(array({value}), {name} -> {body})[0]"
 
 
+def pinned(sql: str) -> Column:
+    """Column that filters are not pushed through.
+
+    A filter on a checked column would otherwise move below the projection that
+    computes it and parse every document a second time.  Row ids are never
+    negative, so the value is always ``sql``.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, F.expr(sql))
+
+
 def text_of(v: str) -> str:
     return f"try_variant_get({v}, '$', 'string')"
 

@@ -13,7 +13,11 @@ import re
 from decimal import Decimal
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+import larder
 
 from larder.functions.variants import (
     as_list,
@@ -27,7 +31,7 @@ from larder.functions.variants import (
 )
 from larder.schemas import ingredient_fields
 
-DEPTH = 6
+DEPTH = 4
 FIELD_NAMES = tuple(name for name, _ in ingredient_fields())
 PRUNED_NAMES = ("id", "text", "ingredients")
 # Marks inside the text under construction; JSON text never holds raw controls.
@@ -85,6 +89,9 @@ def ingredients_misfit(v: str, column: str) -> str:
     return f"({v} IS NOT NULL AND NOT is_variant_null({v}) AND {column} IS NULL)"
 
 
+# The helpers below travel with the job, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(larder)
+
 # --- the same rules for deeper documents -----------------------------------------
 
 _INT_TEXT = re.compile(r"\s*([+-]?\d+(?:_\d+)*)(?:\.0*)?\s*")
@@ -156,7 +163,7 @@ def _deep_text(text: str | None) -> str | None:
         return None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def deep_ingredients(texts: pd.Series) -> pd.Series:
     """Canonical text of the lists that nest deeper than the unrolled levels."""
     return texts.map(_deep_text)
@@ -192,7 +199,7 @@ def _prune(ingredient: dict) -> dict:
     return kept
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def deep_pruned(texts: pd.Series) -> pd.Series:
     """``pruned_draft`` for lists that nest deeper than the unrolled levels."""
 

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from larder.functions.variants import (
     JSON_OPTIONS,
     misfit,
+    pinned,
     to_bigint,
     to_bool,
     to_date,
@@ -73,8 +74,7 @@ def parse_records(lines: DataFrame, schema: T.StructType, required: tuple[str, .
         *carried,
         "line",
         *[f.name for f in schema],
-        # explode() keeps filters on _errors from being evaluated below the parse.
-        F.explode(F.array(F.expr(f"array_compact(array({', '.join(errors)}))"))).alias("_errors"),
+        pinned(f"array_compact(array({', '.join(errors)}))").alias("_errors"),
     )
 
 

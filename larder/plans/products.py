@@ -21,6 +21,7 @@ from larder.functions.variants import (
     let,
     misfit,
     nothing,
+    pinned,
     to_bigint,
     to_bool,
     to_double,
@@ -223,13 +224,11 @@ def parse_products(lines: DataFrame, flavor: str) -> DataFrame:
             outputs.append(F.expr(f"try_cast({field.name} AS INT)").alias(field.name))
         else:
             outputs.append(F.col(field.name).cast(field.dataType).alias(field.name))
-    # explode() of a one-element array keeps filters on _errors above this
-    # point: pushed further down they would parse and coerce everything twice.
     return valued.select(
         *outputs,
         "line",
         F.expr(f"CASE WHEN {too_deep('ingredients')} THEN to_json(doc.ingredients) END").alias("_deep"),
-        F.explode(F.array(F.expr(f"array_compact(array({', '.join(errors)}))"))).alias("_errors"),
+        pinned(f"array_compact(array({', '.join(errors)}))").alias("_errors"),
     )
 
 
