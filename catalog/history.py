@@ -8,6 +8,7 @@ from catalog import Catalog, table
 from larder.functions.facets import barcode_folder, revision_path
 from larder.functions.json_text import strip_user_ids as strip_user_ids_sql
 from larder.operators import history
+from larder.operators.rows import exploded
 from larder.session import scratch_path
 from larder.sources.files import read_lines, write_json_lines
 from larder.streaming import feed
@@ -76,9 +77,7 @@ def revision_pairs(spark, sf):
 
 @catalog.query(_REVISIONS_SQL + "SELECT code, rev_id, field, action FROM changed")
 def flatten_diffs(spark, sf):
-    changes = _revisions(spark, sf).select(
-        "code", "rev_id", F.explode(F.expr(history.flatten_diffs("diffs"))).alias("change")
-    )
+    changes = exploded(_revisions(spark, sf), ["code", "rev_id"], history.flatten_diffs("diffs"), "change")
     return changes.select("code", "rev_id", "change.field", "change.action")
 
 

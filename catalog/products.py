@@ -6,14 +6,15 @@ from pyspark.sql import functions as F
 
 from catalog import Catalog, table
 from larder.functions.facets import nth_ingredient
-from larder.functions.variants import to_bigint, to_bool, to_double, to_int, to_str, to_text
+from larder.functions.variants import pinned, to_bigint, to_bool, to_double, to_int, to_str, to_text
 from larder.operators import images, ingredients, language, members, nutriments
 from larder.operators.analysis import nutrient_rows
+from larder.operators.rows import exploded
 from larder.plans import products as plan
 from larder.plans.mobile import mobile_columns
 from larder.schemas import LANGUAGE_FIELDS, ingredient_fields, product_schema
 from larder.session import scratch_path
-from larder.sources.files import read_lines, read_tsv, write_parquet, write_tsv
+from larder.sources.files import read_lines, read_tsv, spread, write_parquet, write_tsv
 
 catalog = Catalog()
 
@@ -243,8 +244,8 @@ def language_pivot(spark, sf):
         "doc_id", F.expr("element_at(m, 'generic_name')").alias("main"),
         F.expr(language.language_members("m", LANGUAGE_FIELDS)).alias("e"),
     )
-    pivoted = entries.select("doc_id", F.expr(language.language_list("main", "e", "generic_name")).alias("l"))
-    return pivoted.select("doc_id", F.explode("l").alias("x")).select("doc_id", "x.lang", "x.text")
+    rows = exploded(entries, ["doc_id"], language.language_list("main", "e", "generic_name"), "x")
+    return rows.select("doc_id", "x.lang", "x.text")
 
 
 _IMAGE_TEXT = """CASE WHEN p_size % 2 = 0 THEN
@@ -255,9 +256,8 @@ _IMAGE_TEXT = """CASE WHEN p_size % 2 = 0 THEN
 
 
 def _images(spark, sf):
-    return table(spark, sf, "part").selectExpr("p_partkey", _IMAGE_TEXT + " AS t").select(
-        "p_partkey", F.explode(F.expr(images.images_array("t"))).alias("i")
-    )
+    docs = table(spark, sf, "part").selectExpr("p_partkey", _IMAGE_TEXT + " AS t")
+    return exploded(docs, ["p_partkey"], images.images_array("t"), "i")
 
 
 @catalog.query("""
@@ -293,7 +293,7 @@ def owner_fields(spark, sf):
     docs = table(spark, sf, "supplier").selectExpr(
         "s_suppkey", "concat('{\"nation\":\"', s_nationkey, '\",\"key\":', s_suppkey, '}') AS t"
     )
-    return docs.select("s_suppkey", F.explode(F.expr(members.owner_fields("t"))).alias("o")).select("s_suppkey", "o.*")
+    return exploded(docs, ["s_suppkey"], members.owner_fields("t"), "o").select("s_suppkey", "o.*")
 
 
 @catalog.query("""
@@ -307,7 +307,7 @@ def packagings(spark, sf):
         "concat('[{\"material\":\"', p_type, '\",\"number_of_units\":\"', p_size, '\",\"quantity_per_unit_value\":', p_size, "
         "',\"weight_measured\":', p_retailprice, '},{\"quantity_per_unit_value\":\"', p_size, ' g\",\"material\":null}]')",
     )
-    rows = docs.select("p_partkey", F.explode(F.expr(members.packagings("d"))).alias("p"))
+    rows = exploded(docs, ["p_partkey"], members.packagings("d"), "p")
     return rows.select(
         "p_partkey", "p.material", "p.number_of_units", "p.quantity_per_unit_value",
         F.round(F.col("p.weight_measured").cast("double"), 1).alias("weight_measured"),
@@ -350,8 +350,8 @@ _FLAT_NUTRIENTS = (
 """)
 def nutriment_pivot(spark, sf):
     """Flat keys of every line item pivoted; a key with two suffixes fills two nutrients."""
-    docs = table(spark, sf, "lineitem").selectExpr(_FLAT_NUTRIENTS + " AS t")
-    rows = docs.select(F.explode(F.expr(nutriments.pivot_suffixes("t"))).alias("n")).select("n.*")
+    docs = spread(table(spark, sf, "lineitem").selectExpr(_FLAT_NUTRIENTS + " AS t"))
+    rows = exploded(docs, [], nutriments.pivot_suffixes("t"), "n").select("n.*")
 
     def cents(column: str):
         return F.sum(F.round(F.col(column).cast("double") * 100).cast("bigint"))
@@ -388,7 +388,7 @@ def _nutrient_view(rows, key):
 """)
 def nutrition_v3(spark, sf):
     docs = table(spark, sf, "part").selectExpr("p_partkey", _SET_TEXT + " AS t")
-    rows = docs.select("p_partkey", F.explode(F.expr(nutriments.aggregated_nutrients("t"))).alias("n"))
+    rows = exploded(docs, ["p_partkey"], nutriments.aggregated_nutrients("t"), "n")
     return _nutrient_view(rows, "p_partkey")
 
 
@@ -424,7 +424,8 @@ _PART_NUTRIENTS = (
 
 
 def _part_nutrients(spark, sf):
-    return table(spark, sf, "part").selectExpr("p_partkey", f"{nutriments.pivot_suffixes(_PART_NUTRIENTS)} AS n")
+    docs = table(spark, sf, "part").selectExpr("p_partkey", f"{_PART_NUTRIENTS} AS t")
+    return docs.select("p_partkey", pinned(nutriments.pivot_suffixes("t")).alias("n"))
 
 
 @catalog.query("""

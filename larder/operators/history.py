@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from larder.functions.facets import revision_id
 from larder.functions.variants import JSON_OPTIONS, let
+from larder.operators.rows import exploded
 
 # Revisions of one product are paired in blocks of this many, so a product with
 # very many revisions is spread over tasks.
@@ -78,14 +79,12 @@ def resolve_path(document: str, path: str) -> str:
 
 def revision_events(revisions: DataFrame) -> DataFrame:
     """One row per changed field of each revision, with the value before and after."""
-    # The diff is flattened first: revisions without changes still serve as predecessors.
-    paired = revision_pairs(revisions)
-    changed = paired.select(
+    keep = [
         "code", "rev_id", "timestamp", "product_type", "comment",
         F.expr("try_parse_json(previous_product)").alias("before"),
         F.expr("try_parse_json(product)").alias("after"),
-        F.explode(F.expr(flatten_diffs("diffs"))).alias("change"),
-    )
+    ]
+    changed = exploded(revision_pairs(revisions), keep, flatten_diffs("diffs"), "change")
     return changed.select(
         F.expr(revision_id("code", "rev_id")).alias("id"),
         "code", "rev_id", "timestamp", "product_type", "comment",

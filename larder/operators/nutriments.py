@@ -11,6 +11,7 @@ from larder.functions.variants import (
     last_wins,
     let,
     misfit,
+    nothing,
     object_entries,
     to_float,
     to_str,
@@ -41,21 +42,12 @@ SLOTS = (
 # From this document version on, nutrients come from the aggregated set.
 FIRST_AGGREGATED_VERSION = 1003
 
-_ASSIGNMENT = "STRUCT<name STRING, slot STRING, value VARIANT>"
-
-
 def _single_assignment(e: str) -> str:
     """One (name, slot, value) for a key whose name part holds no further suffix."""
-    last = f"substring_index({e}.key, '_', -1)"
-    stem = f"left({e}.key, length({e}.key) - length({last}) - 1)"
-    prepared = let(
-        stem,
-        "n",
-        f"CASE WHEN endswith(n, '_prepared') "
-        f"THEN named_struct('name', left(n, length(n) - 9), 'slot', concat('prepared_', {last}), 'value', {e}.value) "
-        f"ELSE named_struct('name', n, 'slot', {last}, 'value', {e}.value) END",
-    )
-    return f"array({prepared})"
+    prepared = f"endswith({e}.stem, '_prepared')"
+    name = f"CASE WHEN {prepared} THEN left({e}.stem, length({e}.stem) - 9) ELSE {e}.stem END"
+    slot = f"CASE WHEN {prepared} THEN concat('prepared_', {e}.last) ELSE {e}.last END"
+    return f"array(named_struct('name', {name}, 'slot', {slot}, 'value', {e}.value))"
 
 
 def _all_assignments(e: str) -> str:
@@ -64,29 +56,38 @@ def _all_assignments(e: str) -> str:
     The suffixes are tried one after the other; a hit removes every occurrence
     from the key and the rest are tried on what is left.
     """
-    state = (
-        f"named_struct('key', {e}.key, 'value', {e}.value, "
-        f"'found', CAST(array() AS ARRAY<{_ASSIGNMENT}>))"
+    start = (
+        f"named_struct('key', {e}.key, 'found', CAST(array() AS ARRAY<STRUCT<name STRING, slot STRING>>))"
+    )
+    suffixes = ", ".join(f"struct('{suffix}' AS suffix, '{slot}' AS slot)" for suffix, slot in SUFFIXES)
+    rest = "replace(s.key, x.suffix, '')"
+    hit = (
+        f"named_struct('key', {rest}, 'found', "
+        f"concat(s.found, array(named_struct('name', {rest}, 'slot', x.slot))))"
     )
-    for suffix, slot in SUFFIXES:
-        rest = f"replace(s.key, '{suffix}', '')"
-        hit = (
-            f"named_struct('key', {rest}, 'value', s.value, 'found', "
-            f"concat(s.found, array(named_struct('name', {rest}, 'slot', '{slot}', 'value', s.value))))"
-        )
-        state = let(state, "s", f"CASE WHEN endswith(s.key, '{suffix}') THEN {hit} ELSE s END")
-    return f"{state}.found"
+    found = (
+        f"aggregate(array({suffixes}), {start}, "
+        f"(s, x) -> CASE WHEN endswith(s.key, x.suffix) THEN {hit} ELSE s END, s -> s.found)"
+    )
+    return f"transform({found}, h -> named_struct('name', h.name, 'slot', h.slot, 'value', {e}.value))"
 
 
 def assignments(entries: str) -> str:
     """(name, slot, value) per suffix hit, in document order.  Keys without a suffix give none."""
     endings = ("100g", "serving", "unit", "value")
     words = ", ".join(f"'{x}'" for x in endings)
-    relevant = f"filter({entries}, e -> contains(e.key, '_') AND substring_index(e.key, '_', -1) IN ({words}))"
-    stem = "left(e.key, length(e.key) - length(substring_index(e.key, '_', -1)) - 1)"
-    crowded = " OR ".join(f"contains({stem}, '_{x}')" for x in endings)
+    ended = (
+        f"transform({entries}, e -> named_struct('key', e.key, 'value', e.value, "
+        f"'last', substring_index(e.key, '_', -1)))"
+    )
+    relevant = f"filter({ended}, e -> e.last IN ({words}) AND e.last <> e.key)"
+    stemmed = (
+        f"transform({relevant}, e -> named_struct('key', e.key, 'value', e.value, 'last', e.last, "
+        f"'stem', left(e.key, length(e.key) - length(e.last) - 1)))"
+    )
+    crowded = " OR ".join(f"contains(e.stem, '_{x}')" for x in endings)
     return (
-        f"flatten(transform({relevant}, e -> CASE WHEN {crowded} "
+        f"flatten(transform({stemmed}, e -> CASE WHEN {crowded} "
         f"THEN {_all_assignments('e')} ELSE {_single_assignment('e')} END))"
     )
 
@@ -100,25 +101,34 @@ def _nutrient(name: str, slots: dict[str, str]) -> str:
     return f"named_struct({', '.join(parts)})"
 
 
-def _slot_value(slot: str, v: str) -> str:
-    return to_str(v) if slot.endswith("unit") else to_float(v)
-
-
 def pivot_suffixes(text: str) -> str:
     """Flat ``{salt_100g: .., salt_unit: ..}`` text to nutrient structs.
 
-    Absent or empty text gives NULL; no suffix at all gives an empty array; an
-    element is NULL when a value does not fit.  Text that is no object gives an
-    array holding one NULL.
+    Absent or empty text gives NULL; no suffix at all gives an empty array.  A
+    value that does not fit, or text that is no object, gives an array holding
+    one NULL.
     """
-    raw = ", ".join(f"'{slot}', element_at(v, concat(n, '\\u0001', '{slot}'))" for slot in SLOTS)
-    value = _nutrient("n", {slot: _slot_value(slot, f"r.`{slot}`") for slot in SLOTS})
-    checks = " AND ".join(f"NOT {misfit(f'r.`{slot}`', f't.`{slot}`')}" for slot in SLOTS)
-    checked = let(f"named_struct({raw})", "r", let(value, "t", f"CASE WHEN {checks} THEN t END"))
-    structs = f"transform(array_distinct(transform(a, x -> x.name)), n -> {checked})"
     keyed = "transform(a, x -> named_struct('key', concat(x.name, '\\u0001', x.slot), 'value', x.value))"
-    lookup = f"map_from_entries({let(keyed, 'k', last_wins('k'))})"
-    pivoted = let(assignments(let("m", "d", last_wins("d"))), "a", let(lookup, "v", structs))
+    is_unit = "endswith(x.key, 'unit')"
+    # Each value is converted once, before it is placed in its slot.
+    converted = (
+        f"transform({let(keyed, 'k', last_wins('k'))}, x -> named_struct('key', x.key, 'value', named_struct("
+        f"'number', CASE WHEN NOT {is_unit} THEN {to_float('x.value')} END, "
+        f"'text', CASE WHEN {is_unit} THEN {to_str('x.value')} END, 'raw', x.value)))"
+    )
+    odd = (
+        f"exists(c, x -> NOT {nothing('x.value.raw')} AND x.value.number IS NULL AND x.value.text IS NULL)"
+    )
+
+    def placed(slot: str) -> str:
+        kind = "text" if slot.endswith("unit") else "number"
+        return f"element_at(v, concat(n, '\\u0001{slot}')).{kind}"
+
+    nutrient = _nutrient("n", {slot: placed(slot) for slot in SLOTS})
+    structs = f"transform(array_distinct(transform(a, x -> x.name)), n -> {nutrient})"
+    filled = let("map_from_entries(c)", "v", structs)
+    checked = let(converted, "c", f"CASE WHEN {odd} THEN array(NULL) ELSE {filled} END")
+    pivoted = let(assignments(last_wins("m")), "a", checked)
     return (
         f"CASE WHEN {falsy_text(text)} THEN NULL "
         f"ELSE {let(object_entries(text), 'm', f'CASE WHEN m IS NULL THEN array(NULL) ELSE {pivoted} END')} END"

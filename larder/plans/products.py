@@ -223,7 +223,7 @@ def parse_products(lines: DataFrame, flavor: str) -> DataFrame:
         elif field.dataType.simpleString() == "int":
             outputs.append(F.expr(f"try_cast({field.name} AS INT)").alias(field.name))
         else:
-            outputs.append(F.col(field.name).cast(field.dataType).alias(field.name))
+            outputs.append(F.col(field.name))
     return valued.select(
         *outputs,
         "line",

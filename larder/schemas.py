@@ -6,6 +6,8 @@ datasets depend on them.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import types as T
 
 # --- fixed values: nested types -------------------------------------------------
@@ -112,6 +114,7 @@ FLAVORS = ("food", "beauty")
 LANGUAGE_FIELDS = ("ingredients_text", "product_name", "packaging_text", "generic_name")
 
 
+@lru_cache
 def ddl(columns: str) -> T.StructType:
     """Parse one of the column lists above."""
     for _ in range(2):  # @images refers to @size
@@ -120,6 +123,7 @@ def ddl(columns: str) -> T.StructType:
     return T.StructType.fromDDL(columns.replace(" tags", " ARRAY<STRING>"))
 
 
+@lru_cache
 def product_schema(flavor: str) -> T.StructType:
     """Output schema of a product dataset."""
     food = ddl(FOOD_COLUMNS)
@@ -130,6 +134,7 @@ def product_schema(flavor: str) -> T.StructType:
     raise ValueError(f"unsupported flavor: {flavor}")
 
 
+@lru_cache
 def price_schema() -> T.StructType:
     """Output schema of the price dataset."""
     proofs = [T.StructField("proof_" + f.name, f.dataType) for f in ddl(PROOF_COLUMNS)]
@@ -137,6 +142,7 @@ def price_schema() -> T.StructType:
     return T.StructType(ddl(PRICE_COLUMNS).fields + proofs + places)
 
 
+@lru_cache
 def ingredient_fields() -> list[tuple[str, str]]:
     """(name, kind) pairs; kind is FLOAT, INT, STRING or LIST."""
     return [tuple(part.split()) for part in INGREDIENT_FIELDS.replace("\n", " ").split(",")]

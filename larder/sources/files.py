@@ -68,16 +68,23 @@ def read_lines(spark: SparkSession, path: str, position: bool = False) -> DataFr
             ).alias("pos")
         )
     lines = lines.select(*columns)
-    cores = spark.sparkContext.defaultParallelism
     compressed = path.endswith((".gz", ".gzip"))
-    if compressed and lines.rdd.getNumPartitions() < cores:
-        lines = lines.repartition(cores)
-    return lines
+    return spread(lines) if compressed else lines
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share when the input has fewer splits than cores.
+
+    Worth its shuffle only before work that is heavy per row; large inputs have
+    enough splits and pass through untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def in_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns in schema order, cast to the schema's types."""
-    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
+    """Columns in schema order and of the schema's types."""
+    return df.to(schema)
 
 
 def write_parquet(df: DataFrame, target: str, schema: T.StructType | None = None) -> None:

@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from larder.functions.facets import image_paths, revision_path
 from larder.functions.json_text import strip_user_ids
+from larder.operators.rows import exploded
 from larder.sources.files import path_exists
 
 EVENT_SCHEMA = (
@@ -96,16 +97,17 @@ def image_manifest(routed: DataFrame, assets: DataFrame | None = None) -> DataFr
 
     ``assets`` (path, status) says which uploads exist; without it all are listed.
     """
-    paths = F.coalesce(
-        F.when(F.col("uploaded_image").isNotNull(), F.expr(image_paths("code", "uploaded_image"))),
-        F.when(F.col("deleted_image").isNotNull(), F.expr(image_paths("code", "deleted_image"))),
+    paths = (
+        f"coalesce(CASE WHEN uploaded_image IS NOT NULL THEN {image_paths('code', 'uploaded_image')} END, "
+        f"CASE WHEN deleted_image IS NOT NULL THEN {image_paths('code', 'deleted_image')} END)"
     )
-    listed = routed.select(
+    keep = [
         "code", "timestamp", "position",
         F.when(F.col("uploaded_image").isNotNull(), "put").otherwise("remove").alias("op"),
         F.coalesce("uploaded_image", "deleted_image").alias("image_id"),
-        F.explode(paths).alias("path"),
-    )
+    ]
+    asked = routed.filter(F.col("uploaded_image").isNotNull() | F.col("deleted_image").isNotNull())
+    listed = exploded(asked, keep, paths, "path")
     if assets is None:
         return listed
     there = assets.filter(F.col("status") == 200).select(F.col("path").alias("_path")).distinct()
