@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions.facets import revision_id
-from larder.functions.variants import JSON_OPTIONS, let
-from larder.operators.rows import exploded
+from larder.functions.variants import JSON_OPTIONS, let, pinned
 
 # Revisions of one product are paired in blocks of this many, so a product with
 # very many revisions is spread over tasks.
@@ -79,12 +78,19 @@ def resolve_path(document: str, path: str) -> str:
 
 def revision_events(revisions: DataFrame) -> DataFrame:
     """One row per changed field of each revision, with the value before and after."""
-    keep = [
-        "code", "rev_id", "timestamp", "product_type", "comment",
+    meta = ["code", "rev_id", "timestamp", "product_type", "comment"]
+    # Only revisions that change something are worth parsing.
+    busy = (
+        revision_pairs(revisions)
+        .select(*meta, "previous_product", "product", pinned(flatten_diffs("diffs")).alias("changes"))
+        .filter(F.size("changes") > 0)
+    )
+    changed = busy.select(
+        *meta,
         F.expr("try_parse_json(previous_product)").alias("before"),
         F.expr("try_parse_json(product)").alias("after"),
-    ]
-    changed = exploded(revision_pairs(revisions), keep, flatten_diffs("diffs"), "change")
+        F.explode("changes").alias("change"),
+    )
     return changed.select(
         F.expr(revision_id("code", "rev_id")).alias("id"),
         "code", "rev_id", "timestamp", "product_type", "comment",

@@ -26,8 +26,6 @@ def mobile_columns(products: DataFrame, names_as_json: bool = False) -> DataFram
     )
 
 
-def export_mobile(
-    spark: SparkSession, source: str, target: str, names_as_json: bool = False, single_file: bool = False
-) -> None:
+def export_mobile(spark: SparkSession, source: str, target: str, names_as_json: bool = False) -> None:
     require_path(spark, source)
-    write_tsv(mobile_columns(spark.read.parquet(source), names_as_json), target, single_file)
+    write_tsv(mobile_columns(spark.read.parquet(source), names_as_json), target)

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from larder.functions.variants import (
     JSON_OPTIONS,
     misfit,
+    nothing,
     pinned,
     to_bigint,
     to_bool,
@@ -68,7 +69,7 @@ def parse_records(lines: DataFrame, schema: T.StructType, required: tuple[str, .
     errors = ["CASE WHEN doc._bad IS NOT NULL THEN 'json' END"]
     errors += [f"CASE WHEN {misfit(f'doc.`{f.name}`', f.name)} THEN '{f.name}' END" for f in schema]
     errors += [
-        f"CASE WHEN doc._bad IS NULL AND coalesce(is_variant_null(doc.{n}), true) THEN '{n}' END" for n in required
+        f"CASE WHEN doc._bad IS NULL AND {nothing(f'doc.{n}')} THEN '{n}' END" for n in required
     ]
     return valued.select(
         *carried,

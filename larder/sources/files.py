@@ -95,15 +95,11 @@ def write_parquet(df: DataFrame, target: str, schema: T.StructType | None = None
     move_into_place(spark, staged, target)
 
 
-def write_tsv(df: DataFrame, target: str, single_file: bool = False) -> None:
-    """Gzipped tab-separated text with a header line per file.
-
-    ``single_file`` gathers everything in one task; leave it off for large data.
-    """
+def write_tsv(df: DataFrame, target: str) -> None:
+    """A folder of gzipped tab-separated files, each with a header line."""
     spark = df.sparkSession
     staged = staging_path(target)
-    out = df.coalesce(1) if single_file else df
-    out.write.csv(
+    df.write.csv(
         staged, sep="\t", header=True, compression="gzip", quote='"', escape='"', emptyValue='""'
     )
     move_into_place(spark, staged, target)
