@@ -116,12 +116,8 @@ def float_from_text(s: str) -> str:
 def to_bigint(v: str) -> str:
     number = f"try_variant_get({v}, '$', 'double')"
     return (
-        f"CASE schema_of_variant({v}) "
-        f"WHEN 'BIGINT' THEN try_variant_get({v}, '$', 'bigint') "
-        f"WHEN 'STRING' THEN {int_from_text(text_of(v))} "
-        f"WHEN 'BOOLEAN' THEN CAST(try_variant_get({v}, '$', 'boolean') AS BIGINT) "
-        f"ELSE CASE WHEN {number} = rint({number}) AND abs({number}) < 9.2E18D "
-        f"THEN CAST({number} AS BIGINT) END END"
+        f"CASE WHEN schema_of_variant({v}) = 'STRING' THEN {int_from_text(text_of(v))} "
+        f"WHEN {number} = rint({number}) THEN try_variant_get({v}, '$', 'bigint') END"
     )
 
 
@@ -131,9 +127,7 @@ def to_int(v: str) -> str:
 
 def to_double(v: str) -> str:
     return (
-        f"CASE schema_of_variant({v}) "
-        f"WHEN 'STRING' THEN {float_from_text(text_of(v))} "
-        f"WHEN 'BOOLEAN' THEN CAST(try_variant_get({v}, '$', 'boolean') AS DOUBLE) "
+        f"CASE WHEN schema_of_variant({v}) = 'STRING' THEN {float_from_text(text_of(v))} "
         f"ELSE try_variant_get({v}, '$', 'double') END"
     )
 
@@ -175,9 +169,11 @@ def to_bool(v: str) -> str:
 def to_strings(v: str) -> str:
     """List of texts; one element of another type spoils the whole list."""
     elements = f"try_variant_get({v}, '$', 'array<string>')"
+    # Two joins that differ only in how they show a NULL element.
+    no_null = f"array_join({elements}, '', '0') = array_join({elements}, '', '1')"
     return (
-        f"CASE WHEN schema_of_variant({v}) IN ('ARRAY<STRING>', 'ARRAY<VOID>') THEN "
-        f"get(filter(array({elements}), a -> NOT exists(a, x -> x IS NULL)), 0) END"
+        f"CASE WHEN schema_of_variant({v}) IN ('ARRAY<STRING>', 'ARRAY<VOID>') AND {no_null} "
+        f"THEN {elements} END"
     )
 
 
