@@ -37,7 +37,7 @@ def revision_path(code: str, revision: str, api_version: str = API_VERSION) -> s
 
 
 def barcode_folder(code: str) -> str:
-    """``3270160396337`` -> ``327/016/039/6337``.
+    """``4012345678901`` -> ``401/234/567/8901``.
 
     Shorter codes are padded with zeros to 13 digits first.
     """

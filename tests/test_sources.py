@@ -38,7 +38,7 @@ def test_scratch_is_shared(spark):
 
 
 def test_mobile_dump(spark, tmp_path):
-    rows = [("1", "Muesli", "500 g", "A,B", "a", 4, "a"), ("2", 'Rice "x"', None, "C\tD", "b", None, "c")]
+    rows = [("1", "Oats", "750 g", "A,B", "a", 4, "a"), ("2", 'Rice "x"', None, "C\tD", "b", None, "c")]
     names = "code string, product_name string, quantity string, brands string, nutriscore_grade string, nova_group int, environmental_score_grade string"
     spark.createDataFrame(rows, names).coalesce(1).write.parquet(str(tmp_path / "in.parquet"))
     export_mobile(spark, str(tmp_path / "in.parquet"), str(tmp_path / "out"))
@@ -46,7 +46,7 @@ def test_mobile_dump(spark, tmp_path):
     with gzip.open(part, "rt") as fp:
         text = fp.read().split("\n")
     assert text[0] == "code\tproduct_name\tquantity\tbrands\tnutrition_grade_fr\tnova_group\tenvironmental_score_grade"
-    assert sorted(text[1:3]) == ["1\tMuesli\t500 g\tA,B\ta\t4\ta", '2\t"Rice ""x"""\t\t"C\tD"\tb\t\tc']
+    assert sorted(text[1:3]) == ["1\tOats\t750 g\tA,B\ta\t4\ta", '2\t"Rice ""x"""\t\t"C\tD"\tb\t\tc']
     back = files.read_tsv(spark, str(tmp_path / "out"), names)
     assert sorted(map(tuple, back.collect()), key=lambda r: r[0]) == rows
 
