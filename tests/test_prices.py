@@ -111,3 +111,28 @@ def test_input_only_fields_are_checked(lines):
 def test_price_types(lines):
     row = parse_prices(lines({"id": "7", "type": "P", "receipt_quantity": "2.5", "price_is_discounted": "yes", "location_id": 3.0})).head()
     assert (row.id, row.receipt_quantity, row.price_is_discounted, row.location_id, row._errors) == (7, 2.5, True, 3, [])
+
+
+def test_hot_key_is_split(spark):
+    """A key held by half the rows is spread over tasks when the join runs."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    facts = spark.range(0, 40000, 1, 16).selectExpr(
+        "id", "CASE WHEN id % 2 = 0 THEN 7 ELSE CAST(id % 1000 AS INT) END AS k", "sha2(CAST(id AS STRING), 256) AS payload"
+    )
+    lookup = spark.range(1000).selectExpr("id", "id * 2 AS x")
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = lookup_join(facts, lookup, "k", "id", ["x"], "l_", F.xxhash64("id"))
+        execution = joined._jdf.queryExecution()
+        assert execution.toRdd().count() == 40000
+        assert "skew=true" in execution.executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
