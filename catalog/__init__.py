@@ -8,6 +8,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from larder.session import configure
+from larder.sources.files import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table about to meet heavy per-row work: small files are shared out to all cores."""
+    return spread(table(spark, sf_dir, name))
+
+
 @dataclass
 class Catalog:
     """Queries by name; ``sql`` holds the equivalent DuckDB text where there is one."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog import Catalog, table
+from catalog import Catalog, spread_table
 from larder.functions.facets import barcode_folder, revision_path
 from larder.functions.json_text import strip_user_ids as strip_user_ids_sql
 from larder.operators import history
@@ -27,7 +27,7 @@ _DIFFS = """CASE event_type
 
 
 def _revisions(spark, sf):
-    return table(spark, sf, "events").selectExpr(
+    return spread_table(spark, sf, "events").selectExpr(
         _CODE.format(int="BIGINT") + " AS code",
         _REV + " AS rev_id",
         "unix_seconds(CAST(ts AS TIMESTAMP)) AS timestamp",
@@ -87,7 +87,7 @@ def flatten_diffs(spark, sf):
 """)
 def resolve_path(spark, sf):
     """A path per row: a member, a nested member, a list position, a missing one."""
-    docs = table(spark, sf, "events").selectExpr(
+    docs = spread_table(spark, sf, "events").selectExpr(
         "event_id",
         "parse_json(to_json(named_struct('k', CAST(get_json_object(props, '$.k') AS INT), "
         "'n', named_struct('a-b', event_type), 'l', array(1, 2)))) AS doc",
@@ -129,7 +129,7 @@ def events_jsonl(spark, sf):
 
 
 def _feed_events(spark, sf):
-    return table(spark, sf, "events").selectExpr(
+    return spread_table(spark, sf, "events").selectExpr(
         "CASE WHEN event_type <> 'error' THEN lpad(CAST(user_id AS STRING), 13, '0') ELSE '' END AS code",
         "CAST('food' AS STRING) AS flavor",
         "CASE event_type WHEN 'click' THEN 'updated' WHEN 'view' THEN 'updated' "

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog import Catalog, table
+from catalog import Catalog, spread_table, table
 from larder.operators.joins import last_wins_rows, unknown_keys
 from larder.operators.joins import owner_hash as owner_hash_sql
 from larder.plans.prices import join_prices, parse_proofs, strict
@@ -136,7 +136,7 @@ def owner_hash(spark, sf):
 """)
 def strict_validate(spark, sf):
     """Orders as proof records in JSON, checked so that one bad record would stop the job."""
-    lines = table(spark, sf, "orders").select(
+    lines = spread_table(spark, sf, "orders").select(
         F.expr(
             "to_json(named_struct('id', o_orderkey, 'type', 'RECEIPT', 'currency', o_orderstatus, "
             "'date', date_format(o_orderdate, 'yyyy-MM-dd'), "
@@ -161,7 +161,7 @@ def narrow_types(spark, sf):
     """Urgent orders carry a fourth decimal, which the exact decimal column refuses."""
     from larder.functions.variants import to_decimal, to_float, to_int
 
-    docs = table(spark, sf, "orders").select(
+    docs = spread_table(spark, sf, "orders").select(
         "o_orderkey",
         F.expr(
             "parse_json(concat('{\"p\":', CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS STRING), "

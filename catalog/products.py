@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog import Catalog, table
+from catalog import Catalog, spread_table, table
 from larder.functions.facets import nth_ingredient
 from larder.functions.variants import pinned, to_bigint, to_bool, to_double, to_int, to_str, to_text
 from larder.operators import images, ingredients, language, members, nutriments
@@ -14,7 +14,7 @@ from larder.plans import products as plan
 from larder.plans.mobile import mobile_columns
 from larder.schemas import LANGUAGE_FIELDS, ingredient_fields, product_schema
 from larder.session import scratch_path
-from larder.sources.files import read_lines, read_tsv, spread, write_parquet, write_tsv
+from larder.sources.files import read_lines, read_tsv, write_parquet, write_tsv
 
 catalog = Catalog()
 
@@ -40,7 +40,7 @@ def jsonl_scan(spark, sf):
 
 def _product_lines(spark, sf):
     """One product document per part."""
-    return table(spark, sf, "part").select(
+    return spread_table(spark, sf, "part").select(
         F.expr(
             "to_json(named_struct('code', CAST(p_partkey AS STRING), 'product_name', p_name, "
             "'product_name_fr', upper(p_name), 'brands', p_brand, 'rev', p_size, 'obsolete', true, "
@@ -90,7 +90,7 @@ def parquet_roundtrip(spark, sf):
 """)
 def quarantine(spark, sf):
     """Good and refused products side by side; each refused one names its fields."""
-    lines = table(spark, sf, "part").select(
+    lines = spread_table(spark, sf, "part").select(
         F.expr(
             "concat('{\"code\":\"', p_partkey, '\",\"brands_tags\":', "
             "CASE p_type WHEN 'PROMO' THEN '[\"a\",1]' ELSE '[\"a\"]' END, "
@@ -108,7 +108,7 @@ def quarantine(spark, sf):
 
 def _event_values(spark, sf, text: str):
     """(event_id, v): one JSON value per event; ``k`` is the number in its props."""
-    events = table(spark, sf, "events").selectExpr(
+    events = spread_table(spark, sf, "events").selectExpr(
         "event_id", "value", "get_json_object(props, '$.k') AS k"
     )
     return _docs(events, "event_id", f"concat('{{', {text}, '}}')").selectExpr(
@@ -350,7 +350,7 @@ _FLAT_NUTRIENTS = (
 """)
 def nutriment_pivot(spark, sf):
     """Flat keys of every line item pivoted; a key with two suffixes fills two nutrients."""
-    docs = spread(table(spark, sf, "lineitem").selectExpr(_FLAT_NUTRIENTS + " AS t"))
+    docs = spread_table(spark, sf, "lineitem").selectExpr(_FLAT_NUTRIENTS + " AS t")
     rows = exploded(docs, [], nutriments.pivot_suffixes("t"), "n").select("n.*")
 
     def cents(column: str):
@@ -401,7 +401,7 @@ def nutrition_v3(spark, sf):
 """)
 def version_dispatch(spark, sf):
     """Version absent, old, new with a set, and new with a stray flat object (refused)."""
-    lines = table(spark, sf, "part").select(
+    lines = spread_table(spark, sf, "part").select(
         F.expr(
             "concat('{\"code\":\"', p_partkey, '\"', CASE p_size % 4 WHEN 0 THEN ',\"nutriments\":{\"sugars_100g\":1}' "
             "WHEN 1 THEN ',\"schema_version\":1002,\"nutriments\":{\"sugars_100g\":1}' "
