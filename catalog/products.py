@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog import Catalog, spread_table, table
 from larder.functions.facets import nth_ingredient
-from larder.functions.variants import pinned, to_bigint, to_bool, to_double, to_int, to_str, to_text
+from larder.functions.variants import pinned, to_bigint, to_bool, to_double, to_str, to_text
 from larder.operators import images, ingredients, language, members, nutriments
 from larder.operators.analysis import nutrient_rows
 from larder.operators.rows import exploded

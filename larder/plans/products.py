@@ -26,7 +26,6 @@ from larder.functions.variants import (
     to_bool,
     to_double,
     to_float,
-    to_int,
     to_str,
     to_strings,
     to_text,

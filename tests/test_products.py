@@ -4,7 +4,6 @@ import gzip
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from larder.plans import products as plan
 from larder.schemas import product_schema
