@@ -13,12 +13,9 @@ import re
 from decimal import Decimal
 
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-import larder
-
 from larder.functions.variants import (
     as_list,
     as_record,
@@ -89,9 +86,6 @@ def ingredients_misfit(v: str, column: str) -> str:
     return f"({v} IS NOT NULL AND NOT is_variant_null({v}) AND {column} IS NULL)"
 
 
-# The helpers below travel with the job, so executors need no copy of the package.
-cloudpickle.register_pickle_by_value(larder)
-
 # --- the same rules for deeper documents -----------------------------------------
 
 _INT_TEXT = re.compile(r"\s*([+-]?\d+(?:_\d+)*)(?:\.0*)?\s*")
