@@ -5,14 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from catalog import Catalog
-from larder.llm import mixing
+from larder.llm import mixing, token_counts, token_files
 from larder.llm.common import read_table
 
 catalog = Catalog()
 
+
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 _DOCUMENT = "d.doc_id, d.text, d.lang, d.source, d.n_chars"
 
 
 @catalog.query(mixing.replicate_sql(columns=_DOCUMENT))
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.replicate(read_table(spark, sf_dir, "documents"))
+
+
+@catalog.query()
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+@catalog.query()
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(read_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
