@@ -16,6 +16,31 @@ ARROW_CONF = {
 }
 
 
+class Memo(dict):
+    """A dict that fills itself by ``make`` and forgets what was not asked for lately.
+
+    Holds two generations of at most ``half`` entries; the older one goes when
+    the younger is full, and an entry asked for again moves to the younger.
+    """
+
+    def __init__(self, half: int):
+        super().__init__()
+        self.half, self.older = half, {}
+
+    def make(self, key):
+        raise NotImplementedError
+
+    def __missing__(self, key):
+        value = self.older.pop(key, None)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.half:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 def tune(spark: SparkSession) -> SparkSession:
     configure(spark)
     for key, value in ARROW_CONF.items():

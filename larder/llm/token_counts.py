@@ -20,14 +20,14 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
-from larder.llm.common import map_columns
+from larder.llm.common import Memo, map_columns
 
 CHUNK = 1 << 15  # characters
-CACHED_SEGMENTS = 400_000  # per worker; the table is emptied when full
+CACHED_SEGMENTS = 400_000  # per worker, twice
 SPACE_MARK = "▁"
 
 
-class Transitions(dict):
+class Transitions(Memo):
     """Tokens emitted from the boundary state, by segment.
 
     A segment is a word with the one space before it left out; a line feed opens
@@ -37,21 +37,17 @@ class Transitions(dict):
     def __init__(self, path: str):
         import sentencepiece
 
-        super().__init__()
+        super().__init__(CACHED_SEGMENTS)
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         vocabulary = [self.model.id_to_piece(k) for k in range(self.model.get_piece_size())]
         inside = [p for p in vocabulary if SPACE_MARK in p.lstrip(SPACE_MARK) or "\n" in p]
         if inside:
             raise ValueError("pieces cross segments")
 
-    def __missing__(self, segment: str) -> int:
-        if len(self) >= CACHED_SEGMENTS:
-            self.clear()
+    def make(self, segment: str) -> int:
         # The model puts one space mark before every input.  A line feed never
         # joins it, so for such a segment the mark is a token of its own.
-        count = len(self.model.encode(segment, num_threads=1)) - segment.startswith("\n")
-        self[segment] = count
-        return count
+        return len(self.model.encode(segment, num_threads=1)) - segment.startswith("\n")
 
     def spaces(self, n: int) -> int:
         """Tokens of a run of ``n`` spaces with nothing that could join it."""

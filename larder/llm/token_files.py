@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from larder.llm.common import Memo
 from larder.session import scratch_path
 
 # Fixed values of the seekable layout.
@@ -31,7 +32,7 @@ HAS_CHECKSUMS = 0x80
 
 FRAME_IDS = 1 << 16  # ids in a frame, a document longer than that goes over several
 LEVEL = 3
-CACHED_PIECES = 300_000  # per worker; the cache is emptied when full
+CACHED_PIECES = 400_000  # per worker, twice
 
 _INDEX = np.dtype([("doc_id", "<i8"), ("has_id", "u1"), ("start", "<u8"), ("n", "<u8")])
 
@@ -43,7 +44,7 @@ _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _MARKS = ".,;:!?"
 
 
-class _Pieces(dict):
+class _Pieces(Memo):
     """Ids of text pieces, as bytes, filled from the tokenizer on demand.
 
     The tokenizer splits before it merges: a lone space opens a new part, a lone
@@ -52,19 +53,20 @@ class _Pieces(dict):
     """
 
     def __init__(self, encode, lead: str = ""):
-        super().__init__()
+        super().__init__(CACHED_PIECES)
         self.encode, self.lead = encode, lead
+        self.marks: dict[str, bytes] = {}
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHED_PIECES:
-            self.clear()
+    def make(self, piece: str) -> bytes:
         core = piece.rstrip(_MARKS)
-        if core != piece and core and core[-1].isalpha():
-            ids = self[core] + self.encode(piece[len(core):])
-        else:
-            ids = self.encode(self.lead + piece)
-        self[piece] = ids
-        return ids
+        if core == piece or not core or not core[-1].isalpha():
+            return self.encode(self.lead + piece)
+        marks = piece[len(core):]
+        if marks not in self.marks:
+            if len(marks) > 3:
+                return self[core] + self.encode(marks)
+            self.marks[marks] = self.encode(marks)
+        return self[core] + self.marks[marks]
 
 
 class Encoder:
