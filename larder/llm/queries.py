@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from catalog import Catalog
-from larder.llm import mixing, token_counts, token_files
+from larder.llm import mixing, token_counts, token_files, toxicity
 from larder.llm.common import read_table
 
 catalog = Catalog()
@@ -33,3 +33,9 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @catalog.query()
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(read_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+@catalog.query()
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return toxicity.score(docs, toxicity.train(docs, labels))
