@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from catalog import Catalog
-from larder.llm import mixing, token_counts, token_files, toxicity
+from larder.llm import decontaminate, mixing, token_counts, token_files, toxicity
 from larder.llm.common import read_table
 
 catalog = Catalog()
@@ -39,3 +39,8 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     return toxicity.score(docs, toxicity.train(docs, labels))
+
+
+@catalog.query()
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))

@@ -34,7 +34,7 @@ LANDMARKS = 96
 RATIO = 10.0
 EXCESS = 30.0
 MARKED = 300
-STEEPEST = 8.0  # of the calibration: forms unlike those seen stay in doubt
+STEEPEST = 16.0  # of the calibration: forms unlike those seen stay in doubt
 SPOILED = 12  # distorted forms per marked word
 CACHED_WORDS = 300_000
 
