@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from catalog import Catalog
-from larder.llm import decontaminate, mixing, token_counts, token_files, toxicity
+from larder.llm import decontaminate, mixing, near_dup, token_counts, token_files, toxicity
 from larder.llm.common import read_table
 
 catalog = Catalog()
@@ -44,3 +44,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @catalog.query()
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@catalog.query()
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"), size=3, threshold=(85, 100))
