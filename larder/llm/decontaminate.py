@@ -135,27 +135,14 @@ def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[int,
         yield block
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per row of ``docs`` and item found in it:
-    ``doc_id, item_id, score, n_matched, first_word, end_word``.
-
-    ``score`` is the best alignment's over that of the item with itself.  The
-    benchmark travels to the executors in blocks of at most ``block_bytes``; each
-    block takes two narrow passes over the texts, one to count its seeds and one
-    to align.  Nothing but seed counts is shuffled.  Items of fewer than three
-    words, null items and null texts take no part; of several texts under one
-    item id the last counts; repeated rows of ``docs`` are reported as often as
-    they occur, null ids with a null id.
-    """
-    spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = "doc_id long, item_id long, score double, n_matched int, first_word long, end_word long"
-    n_docs, found = None, spark.createDataFrame([], schema)
+def _indexes(texts: DataFrame, benchmark: DataFrame, block_bytes: int):
+    """Weighed indexes of the benchmark's blocks, as broadcast variables."""
+    context = texts.sparkSession.sparkContext
     for block in _blocks(benchmark, block_bytes):
         index = Index(block)
         if not index.seeds:
             continue
-        shared = spark.sparkContext.broadcast((index.seeds, index.names))
+        shared = context.broadcast((index.seeds, index.names))
 
         def count(batch) -> dict:
             seeds, names = shared.value
@@ -168,16 +155,47 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK
 
         counted = map_columns(texts.select("text"), count, "seed int, n long").groupBy("seed").agg(F.sum("n").alias("n"))
         found_in = {r["seed"]: r["n"] for r in counted.collect()}  # one number per seed of the block
-        n_docs = found_in.pop(-1, 0)
-        index.weigh(found_in, n_docs)
-        ready = spark.sparkContext.broadcast(index)
+        index.weigh(found_in, found_in.pop(-1, 0))
+        yield context.broadcast(index)
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """One row per row of ``docs`` and item found in it:
+    ``doc_id, item_id, score, n_matched, first_word, end_word``.
 
-        def search(batch) -> dict:
+    ``score`` is the best alignment's over that of the item with itself.  The
+    benchmark travels to the executors in blocks of at most ``block_bytes``; each
+    block takes two narrow passes over the texts, one to count its seeds and one
+    to align.  Nothing but seed counts is shuffled.  Items of fewer than three
+    words, null items and null texts take no part; of several texts under one
+    item id the last counts; repeated rows of ``docs`` are reported as often as
+    they occur, null ids with a null id.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    schema = "doc_id long, item_id long, score double, n_matched int, first_word long, end_word long"
+    found = docs.sparkSession.createDataFrame([], schema)
+    for index in _indexes(texts, benchmark, block_bytes):
+
+        def search(batch, index=index) -> dict:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                rows += [(doc_id, *m) for m in ready.value.matches(text)]
+                rows += [(doc_id, *m) for m in index.value.matches(text)]
             names = ("doc_id", "item_id", "score", "n_matched", "first_word", "end_word")
             return {name: [r[k] for r in rows] for k, name in enumerate(names)}
 
         found = found.unionByName(map_columns(texts, search, schema))
     return found
+
+
+def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs``, all columns, that hold no item of the benchmark."""
+    place = docs.columns.index("text")
+    left = docs
+    for index in _indexes(docs, benchmark, block_bytes):
+
+        def run(batches, index=index):
+            for batch in batches:
+                yield batch.filter(pa.array([not index.value.matches(t) for t in batch.column(place).to_pylist()], pa.bool_()))
+
+        left = left.mapInArrow(run, docs.schema)
+    return left

@@ -145,9 +145,20 @@ def _sketched(docs: DataFrame, size: int) -> DataFrame:
     return map_columns(texts, run, "doc_id long, n_shingles long, s1 long, s2 long, registers binary")
 
 
-def _band_keys(nodes: DataFrame) -> DataFrame:
+def _band_rows(least: float) -> int:
+    """The most registers of a band to compare, so that a pair at the threshold is missed by all
+    bands with a probability under 1e-5."""
+    p = (1 - least) / 2
+    equal = 1 + 2 * math.log1p(-p * (BASE - 1) / BASE) / math.log(BASE)
+    return next((r for r in range(ROWS, 1, -1) if (1 - equal**r) ** BANDS < 1e-5), 1)
+
+
+def _band_keys(nodes: DataFrame, least: float) -> DataFrame:
+    rows = _band_rows(least)
+
     def run(batch) -> dict:
         registers = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint64).reshape(-1, BANDS)
+        registers = registers & np.uint64(2 ** (8 * rows) - 1)
         keys = _mix(registers ^ _mix(np.arange(1, BANDS + 1, dtype=np.uint64))[None, :])
         return {"key": keys.reshape(-1).view(np.int64), "node": np.repeat(np.asarray(batch.column(0)), BANDS)}
 
@@ -220,7 +231,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
     nodes = store(
         filled.join(classes, ["s1", "s2", "n_shingles"]).where("doc_id = node").select("node", "n_shingles", "registers").distinct(), "nodes"
     )
-    buckets = _band_keys(nodes)
+    buckets = _band_keys(nodes, least)
     shared = buckets.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1")
     members = store(buckets.join(shared, "key").select("key", "pivot", "node"), "members")
     stars = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
@@ -255,6 +266,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
     return joined.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def keep_one(docs: DataFrame, size: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
+    """The rows of ``docs``, all columns, without all but the first document of every group.
+
+    A repeated row (same id, same text) stays once; rows without an id all stay.
+    """
+    gone = near_duplicates(docs, size, threshold).where("not kept").select("doc_id").distinct()
+    left = docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    mark = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).otherwise(F.xxhash64("text"))
+    return left.withColumn("_row", mark).dropDuplicates(["doc_id", "_row"]).drop("_row")
+
+
 def _texts_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Texts of the documents that occur in ``pairs``, one per id."""
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()

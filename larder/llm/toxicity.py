@@ -340,3 +340,16 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     return margins.select("doc_id", is_held_out().alias("held_out"), value.alias("score")).withColumn(
         "predicted", (F.col("score") >= threshold).cast("int")
     )
+
+
+def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, all columns, that score below the threshold."""
+    place = docs.columns.index("text")
+
+    def run(batches):
+        scorer = Scorer(model)
+        for batch in batches:
+            scores = model.score(scorer.texts(batch.column(place).to_pylist()))
+            yield batch.filter(pa.array(scores < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
