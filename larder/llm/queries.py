@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from catalog import Catalog
-from larder.llm import decontaminate, mixing, near_dup, token_counts, token_files, toxicity
+from larder.llm import decontaminate, mixing, near_dup, suffix_dedup, token_counts, token_files, toxicity
 from larder.llm.common import read_table
 
 catalog = Catalog()
@@ -49,3 +49,8 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @catalog.query()
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"), size=3, threshold=(85, 100))
+
+
+@catalog.query()
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_bytes(read_table(spark, sf_dir, "documents")).drop("kept")
