@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from catalog import Catalog
-from larder.llm import decontaminate, mixing, near_dup, suffix_dedup, token_counts, token_files, toxicity
+from larder.llm import ann, decontaminate, mixing, near_dup, suffix_dedup, token_counts, token_files, toxicity
 from larder.llm.common import read_table
 
 catalog = Catalog()
@@ -54,3 +54,9 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @catalog.query()
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_bytes(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
+@catalog.query()
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 20 = 0"))
