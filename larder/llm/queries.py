@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from catalog import Catalog
-from larder.llm import ann, decontaminate, mixing, near_dup, suffix_dedup, token_counts, token_files, toxicity
+from larder.llm import ann, decontaminate, html_text, mixing, near_dup, suffix_dedup, token_counts, token_files, toxicity
 from larder.llm.common import read_table
 
 catalog = Catalog()
@@ -60,3 +60,8 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings")
     return ann.nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+@catalog.query()
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
