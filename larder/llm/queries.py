@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from catalog import Catalog
-from larder.llm import ann, decontaminate, html_text, mixing, near_dup, suffix_dedup, token_counts, token_files, toxicity
+from larder.llm import ann, decontaminate, html_text, mixing, near_dup, pii, suffix_dedup, token_counts, token_files, toxicity
 from larder.llm.common import read_table
 
 catalog = Catalog()
@@ -65,3 +65,9 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @catalog.query()
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
+@catalog.query()
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return pii.scan(docs, pii.train(docs))
