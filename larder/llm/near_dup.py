@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.llm.common import map_columns
@@ -29,6 +29,8 @@ SCALE_TOP = 15  # the register of a minimum of 1
 # Pairs whose likeliest similarity lies this far under the threshold are not
 # verified.  With 320 registers it is more than six standard deviations.
 SLACK = 0.13
+BLOCK_SHINGLES = 200_000  # of the sets compared with each other in one task
+VOCABULARY = 2_048  # shingles counted at once
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _rng = np.random.default_rng(20240229)
@@ -202,14 +204,88 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, threshold: tuple[in
     return given.mapInArrow(run, "a long, b long")
 
 
+def _links_between(rows: pa.Table, threshold: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Linked nodes of different parts, one from either block, by exact set sizes."""
+    node, part, n, block = (np.asarray(rows.column(c)) for c in ("node", "part", "n", "block"))
+    sets = [np.frombuffer(d, np.uint64) for d in rows.column("data").to_pylist()]
+    left, right = np.flatnonzero(block == rows.column("lo")[0].as_py()), np.flatnonzero(block == rows.column("hi")[0].as_py())
+    shared = np.zeros((len(left), len(right)), np.float32)
+    value, index, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    keep = count[index] > 1
+    index, owner = index[keep], owner[keep]
+    order = np.argsort(index, kind="stable")
+    index, owner = index[order], owner[order]
+    spots = np.searchsorted(index, np.arange(0, len(value) + VOCABULARY, VOCABULARY))
+    for k, (start, stop) in enumerate(zip(spots[:-1], spots[1:])):
+        if start < stop:
+            here = np.zeros((len(sets), VOCABULARY), np.float32)
+            here[owner[start:stop], index[start:stop] - k * VOCABULARY] = 1
+            shared += here[left] @ here[right].T
+    both = shared.astype(np.int64)
+    good = threshold[1] * both >= threshold[0] * (n[left][:, None] + n[right][None, :] - both)
+    good &= part[left][:, None] != part[right][None, :]
+    i, j = np.nonzero(good)
+    a, b = node[left[i]], node[right[j]]
+    return np.minimum(a, b), np.maximum(a, b)
+
+
+def _rare_links(nodes: DataFrame, texts: DataFrame, size: int, threshold: tuple[int, int], store) -> DataFrame:
+    """All links ``a, b`` between nodes of different parts, on full sets.
+
+    Two sets at the threshold must share one of the first ``n - ceil(t n) + 1``
+    shingles of either, in any one order.  In the order of rarity these are
+    mostly a text's own, so few nodes meet.  Those that do are compared exactly,
+    in blocks of bounded size, and only links leave the task.
+    """
+
+    def pack(batch) -> dict:
+        sets = [shingle_hashes(t, size) for t in batch.column(1).to_pylist()]
+        return {"node": batch.column(0), "n": [len(s) for s in sets], "data": [s.tobytes() for s in sets]}
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, n, data in zip(*(batch.column(c).to_pylist() for c in ("node", "n", "data"))):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.frombuffer(data, np.int64)), pa.array(np.full(n, node, np.int64)), pa.array(np.full(n, n, np.int64))],
+                    names=["token", "node", "n"],
+                )
+
+    wanted = texts.toDF("node", "text").join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    sets = store(map_columns(wanted, pack, "node long, n long, data binary"), "sets")
+    tokens = sets.mapInArrow(spread, "token long, node long, n long")
+    rarity = tokens.groupBy("token").agg(F.count("*").alias("df"))
+    at = Window.partitionBy("node").orderBy("df", "token")
+    first = F.col("n") - F.ceil(F.col("n") * threshold[0] / threshold[1] - 1e-9) + 1
+    prefix = (
+        tokens.join(rarity, "token").withColumn("place", F.row_number().over(at))
+        .where((F.col("place") <= first) & (F.col("df") > 1)).select("token", "node", "n").join(nodes, "node")
+    )
+    prefix = store(prefix, "prefix")
+    counted = prefix.groupBy("token").agg(
+        F.min("part").alias("low"), F.max("part").alias("high"), F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks")
+    ).where("low < high").select("token", "blocks")
+    dealt = (
+        prefix.join(counted, "token").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("token", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "part")
+    )
+
+    def compare(rows: pa.Table) -> pa.Table:
+        a, b = _links_between(rows, threshold)
+        return pa.table({"a": a, "b": b})
+
+    return dealt.join(sets, "node").groupBy("token", "lo", "hi").applyInArrow(compare, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` per row of ``docs``.
 
     Two documents are linked if ``threshold[1] * |A & B| >= threshold[0] * |A | B|``.
     Documents with equal sets become one node first.  In every bucket of a band
-    the smallest node is tried with all others; then, in buckets that still hold
-    several components, everything outside the largest is tried with the other
-    components, so no pair of a bucket is left untried that could still matter.
+    the smallest node is tried with all others.  Nodes of buckets that still hold
+    several components are then joined on their rarest shingles, which finds
+    every link between components that is left among them.
 
     Every row is placed by its own text, so repeated rows fall together; should
     different texts share an id that is the smallest of their classes, the
@@ -247,14 +323,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
         F.max_by("part", F.struct("n", "part")).alias("largest"), F.count("*").alias("parts")
     ).where("parts > 1")
     mixed = store(labelled.join(mixed, "key").select("key", "node", "part", "largest"), "mixed")
-    minor = mixed.where("part <> largest").select("key", F.col("node").alias("x"), F.col("part").alias("px"))
-    cross = (
-        mixed.join(minor, "key").where("part <> px")
-        .select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
-    more_likely = store(_likely(cross, nodes, least), "likely")
-    more = store(_verified(more_likely, _texts_of(more_likely, texts), size, threshold), "links")
+    more = store(_rare_links(mixed.select("node", "part").distinct(), texts, size, threshold, store), "links")
     parts = connected_components(links.union(more))
     # Rows of one class share its node, and rows of one id its smallest component.
     placed = classes.join(parts.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").select(
