@@ -131,7 +131,7 @@ def events_jsonl(spark, sf):
 def _feed_events(spark, sf):
     return spread_table(spark, sf, "events").selectExpr(
         "CASE WHEN event_type <> 'error' THEN lpad(CAST(user_id AS STRING), 13, '0') ELSE '' END AS code",
-        "CAST('food' AS STRING) AS flavor",
+        "CAST('off' AS STRING) AS flavor",
         "CASE event_type WHEN 'click' THEN 'updated' WHEN 'view' THEN 'updated' "
         "WHEN 'purchase' THEN 'deleted' ELSE 'created' END AS action",
         "CAST(ts AS TIMESTAMP) AS timestamp",
@@ -155,7 +155,7 @@ _FEED_SQL = """
 _LATEST_SQL = _FEED_SQL + """
     SELECT code, event_id AS rev, 'v2/' || code || '/' || event_id || '.json' AS path, body FROM (
         SELECT * FROM feed WHERE action IN ('updated', 'deleted')
-        QUALIFY row_number() OVER (PARTITION BY code ORDER BY ts DESC, event_id DESC) = 1)
+        QUALIFY row_number() OVER (PARTITION BY code ORDER BY event_id DESC) = 1)
     WHERE action = 'updated'
 """
 
@@ -181,17 +181,46 @@ def strip_user_ids(spark, sf):
 @catalog.query(_LATEST_SQL)
 def latest_revision(spark, sf):
     changes = feed.capture_changes(feed.route_events(_feed_events(spark, sf)))
-    return feed.newest_per_product(changes, ["timestamp", "position"]).select("code", "rev", "path", "body")
+    return feed.newest_per_product(changes, feed.ORDER).select("code", "rev", "path", "body")
+
+
+def _feed_lines(spark, sf):
+    """The feed as text lines: plus a broken line, a broken document or an unknown flavor here and
+    there, behind each good event of that number, and times out of stream order."""
+    good = _feed_events(spark, sf).withColumn("timestamp", F.expr("timestamp - position * INTERVAL '7' MINUTE"))
+    late = good.filter("code <> ''")
+    broken = late.filter("position % 5 = 0").withColumn("action", F.lit("updated")).withColumn(
+        "product", F.when(F.col("position") % 10 == 0, F.lit("{\"rev\": ")).otherwise(F.lit("{\"q\": 1}"))
+    )
+    unknown = late.filter("position % 7 = 0").withColumn("flavor", F.lit("other"))
+    lines = good.unionByName(broken).unionByName(unknown).select(F.to_json(F.struct("*")).alias("value"))
+    cut = late.filter("position % 11 = 0").selectExpr("concat('{\"code\": \"', code, '\", \"position\": ', position) AS value")
+    return lines.unionByName(cut)
+
+
+def _run_feed(spark, sf):
+    root = scratch_path(spark, "feed")
+    _feed_lines(spark, sf).repartition(6).write.text(f"{root}/in")
+    writer = feed.FeedWriter(f"{root}/out", snapshot_every=2)
+    stream = feed.events_from_files(spark, f"{root}/in", files_per_batch=1)
+    writer.start(stream, f"{root}/checkpoint", once=True).awaitTermination()
+    return writer
 
 
 @catalog.query(_LATEST_SQL)
 def latest_from_stream(spark, sf):
-    """The same through the streaming job: files in, micro-batch writer, snapshot out."""
-    root = scratch_path(spark, "feed")
-    _feed_events(spark, sf).write.json(f"{root}/in")
-    writer = feed.FeedWriter(f"{root}/out", snapshot_every=1)
-    writer.start(feed.events_from_files(spark, f"{root}/in"), f"{root}/checkpoint", once=True).awaitTermination()
-    return writer.latest(spark).select("code", "rev", "path", "body")
+    """The same through the streaming job: files in, six micro-batches, snapshots out."""
+    return _run_feed(spark, sf).latest(spark).select("code", "rev", "path", "body")
+
+
+@catalog.query(_FEED_SQL + """
+    SELECT event_id AS position, code, 'document' AS reason FROM feed WHERE event_id % 5 = 0
+    UNION ALL SELECT event_id, code, 'flavor' FROM feed WHERE event_id % 7 = 0
+    UNION ALL SELECT NULL, NULL, 'json' FROM feed WHERE event_id % 11 = 0
+""")
+def feed_refused(spark, sf):
+    """What the streaming job could not apply, with the reason."""
+    return _run_feed(spark, sf).refused(spark).select("position", "code", "reason")
 
 
 @catalog.query(_FEED_SQL + """

@@ -22,8 +22,10 @@ ACTIONS = ("add", "change", "delete")
 def revision_pairs(revisions: DataFrame, carry: str = "product", block: int = BLOCK) -> DataFrame:
     """Add ``previous_<carry>``: the value at ``rev_id - 1`` of the same code, else NULL.
 
-    One shuffle on (code, block).  The last revision of a block is copied into
-    the next block, where it only serves as predecessor.
+    A revision given several times counts once, as last written (greatest
+    timestamp, then text).  One
+    shuffle on (code, block).  The last revision of a block is copied into the
+    next block, where it only serves as predecessor.
     """
     mine = F.expr(f"rev_id DIV {block}")
     last_of_block = F.expr(f"pmod(rev_id, {block}) = {block - 1}")
@@ -31,13 +33,14 @@ def revision_pairs(revisions: DataFrame, carry: str = "product", block: int = BL
     guest = F.struct((mine + 1).alias("block"), F.lit(False).alias("own"))
     placed = revisions.withColumn(
         "_place", F.explode(F.when(last_of_block, F.array(own, guest)).otherwise(F.array(own)))
-    )
-    # Exactly the row one below, wherever several copies of a revision exist.
-    before = (
-        Window.partitionBy("code", "_place.block").orderBy("rev_id").rangeBetween(-1, -1)
-    )
-    paired = placed.withColumn(f"previous_{carry}", F.max(F.col(carry)).over(before))
-    return paired.filter("_place.own").drop("_place")
+    ).select("*", F.col("_place.block").alias("_block"), F.col("_place.own").alias("_own")).drop("_place")
+    block_rows = Window.partitionBy("code", "_block")
+    latest = [F.desc(c) for c in ("timestamp", carry) if c in revisions.columns]
+    # Copies of a revision follow each other; the first of them is kept.
+    before = F.lag("rev_id").over(block_rows.orderBy("rev_id", *latest))
+    once = placed.withColumn("_first", before.isNull() | (before != F.col("rev_id"))).filter("_first").drop("_first")
+    paired = once.withColumn(f"previous_{carry}", F.max(F.col(carry)).over(block_rows.orderBy("rev_id").rangeBetween(-1, -1)))
+    return paired.filter("_own").drop("_block", "_own")
 
 
 def flatten_diffs(diffs: str) -> str:

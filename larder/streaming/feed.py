@@ -4,11 +4,14 @@ Events: code, flavor, action, timestamp, position (place in the stream), diffs
 (JSON text) and product (JSON text, the document after the update).
 
 Everything up to the writer is stateless, so it runs the same on a stream and on
-a table.  The writer keeps three things under one root folder:
+a table.  Changes are ordered by their place in the stream alone (by time only
+where none is given), so the cut into micro-batches decides nothing.  The writer
+keeps four things under one root folder:
 
 - ``changes/batch=N``: captured updates and deletions of micro-batch N;
+- ``refused/batch=N``: events that cannot be applied, with the reason;
 - ``assets/batch=N``: image objects to store or remove;
-- ``latest/upto=N``: a snapshot of the newest revision per product.
+- ``latest/upto=N``: a snapshot of the newest change per product.
 
 A replayed micro-batch overwrites its own folder, so nothing is stored twice.
 """
@@ -22,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from larder.functions.facets import image_paths, revision_path
 from larder.functions.json_text import strip_user_ids
 from larder.operators.rows import exploded
-from larder.sources.files import path_exists
+from larder.sources.files import delete_path, path_exists
 
 EVENT_SCHEMA = (
     "code STRING, flavor STRING, action STRING, timestamp TIMESTAMP, position BIGINT, "
@@ -34,21 +37,55 @@ CHANGE_SCHEMA = (
 )
 
 
+# The kinds of product an event may come from.
+FLAVORS = ("off", "obf", "opff", "opf", "off_pro")
+REFUSED_SCHEMA = "position BIGINT, code STRING, reason STRING, line STRING"
+# Later in the stream wins.
+ORDER = ["position", "timestamp"]
+
+
+# The revision number of a document that is an object.
+_REV = "try_variant_get(try_parse_json(product), '$.rev', 'bigint')"
+
+
+def parse_events(lines: DataFrame, *carried: str) -> DataFrame:
+    """Events from the text column ``line``; a line that is no JSON object of that shape keeps only ``line``."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    parsed = lines.withColumn("e", F.from_json("line", EVENT_SCHEMA + ", _bad STRING", options))
+    event = [F.when(F.col("e._bad").isNull(), F.col(f"e.{part.split()[0]}")).alias(part.split()[0]) for part in EVENT_SCHEMA.split(", ")]
+    return parsed.select(*carried, *event, "line", (F.col("e").isNull() | F.col("e._bad").isNotNull()).alias("malformed"))
+
+
 def events_from_files(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """Stream of events from JSON-lines files dropped into a folder."""
-    reader = spark.readStream.schema(EVENT_SCHEMA)
+    reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(path)
+    return parse_events(reader.text(path).withColumnRenamed("value", "line"))
 
 
 def events_from_messages(messages: DataFrame) -> DataFrame:
     """Events from broker messages (``value`` bytes and ``offset``)."""
-    event = F.from_json(F.col("value").cast("string"), EVENT_SCHEMA)
-    return messages.select(event.alias("e"), "offset").select(
-        "e.code", "e.flavor", "e.action", "e.timestamp",
-        F.coalesce("e.position", "offset").alias("position"), "e.diffs", "e.product",
-    )
+    events = parse_events(messages.select(F.col("value").cast("string").alias("line"), "offset"), "offset")
+    return events.withColumn("position", F.coalesce("position", "offset")).drop("offset")
+
+
+def refused_events(events: DataFrame, flavors: tuple[str, ...] | None = FLAVORS) -> DataFrame:
+    """Events that cannot be applied: position, code, reason, line.
+
+    ``json``: the line is no event; ``flavor``: an unknown one; ``document``: an
+    update whose document is no JSON object with a whole ``rev``.  Events without
+    a code are skipped, not refused, and so are updates without any document.
+    """
+    line = F.col("line") if "line" in events.columns else F.lit(None).cast("string")
+    malformed = F.col("malformed") if "malformed" in events.columns else F.lit(False)
+    reason = F.when(malformed, F.lit("json"))
+    named = F.length("code") > 0
+    if flavors is not None:
+        reason = reason.when(named & ~F.coalesce(F.col("flavor").isin(*flavors), F.lit(False)), F.lit("flavor"))
+    broken = (F.col("action") == "updated") & F.col("product").isNotNull() & F.expr(f"{_REV} IS NULL")
+    reason = reason.when(named & broken, F.lit("document"))
+    return events.select("position", "code", reason.alias("reason"), line.alias("line")).filter("reason IS NOT NULL")
 
 
 def route_events(events: DataFrame) -> DataFrame:
@@ -79,10 +116,11 @@ def route_events(events: DataFrame) -> DataFrame:
 def capture_changes(routed: DataFrame) -> DataFrame:
     """Revisions to store (user names stripped) and deletions, one row each.
 
-    An update without a document changes nothing.
+    An update without a document, or with one that is no object with a ``rev``,
+    changes nothing.
     """
-    rev = F.expr("try_variant_get(try_parse_json(product), '$.rev', 'bigint')")
-    wanted = routed.filter((F.col("stores") & F.col("product").isNotNull()) | F.col("removes"))
+    rev = F.expr(_REV)
+    wanted = routed.filter((F.col("stores") & rev.isNotNull()) | F.col("removes"))
     return wanted.select(
         "code", "flavor", "action", "timestamp", "position",
         F.when(F.col("stores"), rev).alias("rev"),
@@ -118,35 +156,41 @@ def image_manifest(routed: DataFrame, assets: DataFrame | None = None) -> DataFr
     )
 
 
-def newest_per_product(changes: DataFrame, order: list[str]) -> DataFrame:
-    """The last change of each code by ``order``, unless it is a deletion.
+def newest_per_product(changes: DataFrame, order: list[str], deletions: bool = False) -> DataFrame:
+    """The last change of each code by ``order``; left out if it is a deletion, unless asked for.
 
-    An aggregate with map-side combine: a product with very many changes sends
-    one row per task.
+    Only codes and orders are aggregated, in a hash aggregate with map-side
+    combine; the bodies of the rows that won are fetched by a join afterwards.
     """
-    row = F.struct(*[F.col(c) for c in changes.columns])
-    last = changes.groupBy("code").agg(F.max_by(row, F.struct(*order)).alias("_row")).select("_row.*")
-    return last.filter(F.col("action") != "deleted")
+    at = F.struct(*order)
+    last = changes.groupBy("code").agg(F.max(at).alias("_last"))
+    won = changes.join(last, "code").filter(at == F.col("_last")).drop("_last")
+    # A change stored twice, at one place of the stream, counts once.
+    won = won.dropDuplicates(["code"]).select(*changes.columns)
+    return won if deletions else won.filter(F.col("action") != "deleted")
 
 
 class FeedWriter:
     """``foreachBatch`` writer and reader of the stored feed."""
 
-    # Later micro-batches are later in the stream.
-    ORDER = ["batch", "timestamp", "position"]
-
-    def __init__(self, root: str, snapshot_every: int = 50, assets: DataFrame | None = None):
+    def __init__(
+        self, root: str, snapshot_every: int = 50, assets: DataFrame | None = None, flavors: tuple[str, ...] | None = FLAVORS
+    ):
         self.root = root.rstrip("/")
         self.snapshot_every = snapshot_every
         self.assets = assets
+        self.flavors = flavors
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
-        routed = route_events(batch).persist()
+        batch = batch.persist()
         try:
+            refused_events(batch, self.flavors).write.mode("overwrite").parquet(f"{self.root}/refused/batch={batch_id}")
+            known = batch if self.flavors is None else batch.filter(F.col("flavor").isin(*self.flavors))
+            routed = route_events(known)
             capture_changes(routed).write.mode("overwrite").parquet(f"{self.root}/changes/batch={batch_id}")
             image_manifest(routed, self.assets).write.mode("overwrite").parquet(f"{self.root}/assets/batch={batch_id}")
         finally:
-            routed.unpersist()
+            batch.unpersist()
         if (batch_id + 1) % self.snapshot_every == 0:
             self.snapshot(batch.sparkSession, batch_id)
 
@@ -157,27 +201,40 @@ class FeedWriter:
         return writer.start()
 
     def revisions(self, spark: SparkSession) -> DataFrame:
-        """All stored revisions."""
-        return self._changes(spark).filter(F.col("action") == "updated")
+        """Stored revisions, each once: of several under one code and number the last counts."""
+        stored = self._changes(spark).filter(F.col("action") == "updated")
+        at = F.struct(*ORDER)
+        last = stored.groupBy("code", "rev").agg(F.max(at).alias("_last"))
+        won = stored.join(last, ["code", "rev"]).filter(at == F.col("_last"))
+        return won.dropDuplicates(["code", "rev"]).select(*stored.columns)
+
+    def refused(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(REFUSED_SCHEMA).parquet(f"{self.root}/refused")
 
     def manifest(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.root}/assets")
 
     def latest(self, spark: SparkSession) -> DataFrame:
         """Newest revision per product: the last snapshot plus the changes after it."""
+        return self._newest(spark).filter(F.col("action") != "deleted")
+
+    def _newest(self, spark: SparkSession) -> DataFrame:
+        """With deletions, so that an earlier change that arrives late stays deleted."""
         base = self._last_snapshot(spark)
         changes = self._changes(spark)
         if base is not None:
             stored = spark.read.parquet(f"{self.root}/latest/upto={base}")
             changes = stored.unionByName(changes.filter(F.col("batch") > base))
-        return newest_per_product(changes, self.ORDER)
+        return newest_per_product(changes, ORDER, deletions=True)
 
     def snapshot(self, spark: SparkSession, batch_id: int) -> None:
         """Fold the changes up to ``batch_id`` into a new snapshot."""
         if self._last_snapshot(spark) == batch_id:
             return
-        out = self.latest(spark)
-        out.write.mode("overwrite").parquet(f"{self.root}/latest/upto={batch_id}")
+        before = self._last_snapshot(spark)
+        self._newest(spark).write.mode("overwrite").parquet(f"{self.root}/latest/upto={batch_id}")
+        if before is not None:  # superseded now
+            delete_path(spark, f"{self.root}/latest/upto={before}")
 
     def _changes(self, spark: SparkSession) -> DataFrame:
         stored = spark.read.schema(CHANGE_SCHEMA + ", batch BIGINT").option("basePath", f"{self.root}/changes")

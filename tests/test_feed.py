@@ -6,15 +6,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from larder.functions.facets import barcode_folder
-from larder.functions.json_text import strip_user_ids
+from larder.functions.json_text import USER_MEMBERS, strip_user_ids
 from larder.streaming import feed
 
 CODE = "4012345678901"
 
 
-def event(position, action="updated", code=CODE, diffs=None, product=None):
+def event(position, action="updated", code=CODE, diffs=None, product=None, flavor="off"):
     return {
-        "code": code, "flavor": "food", "action": action, "timestamp": f"2024-01-01T00:00:{position:02d}Z", "position": position,
+        "code": code, "flavor": flavor, "action": action, "timestamp": f"2024-01-01T00:00:{position:02d}Z", "position": position,
         "diffs": json.dumps(diffs) if diffs is not None else None,
         "product": json.dumps(product) if product is not None else None,
     }
@@ -45,25 +45,33 @@ def strip(spark, product, *extra):
     return df.select(F.expr(strip_user_ids("p", tuple(extra))).alias("x")).head().x
 
 
-USERS = {
-    "checkers_tags": ["u"], "correctors_tags": ["u"], "creator": "u", "editors_tags": ["u"], "informers_tags": ["u"], "last_checker": "u",
-    "last_editor": "u", "last_modified_by": "u", "photographers_tags": ["u"],
-}
+def test_strip_every_user_member(spark):
+    """Removed members stand first, last and between kept ones; what is kept keeps its place and text."""
+    product = {}
+    for n, name in enumerate(USER_MEMBERS):
+        product[name] = [f"person {n}", {"nested": n}] if n % 2 else n * 1000
+        product[f"kept_{n}"] = [n, None, {"creator": "stays when nested"}]
+    text = strip(spark, product)
+    assert text == json.dumps({k: v for k, v in product.items() if k.startswith("kept_")}, separators=(",", ":"))
 
 
-@pytest.mark.parametrize(
-    "images, stripped",
-    [
-        ({"1": {"sizes": {}, "uploader": "u", "t": "15"}, "front_de": {"imgid": 1}}, {"1": {"sizes": {}, "t": "15"}, "front_de": {"imgid": 1}}),
-        ({"uploaded": {"1": {"uploader": "u", "t": 1.0}}, "selected": {"front": {"de": {"rev": 11}}}}, {"uploaded": {"1": {"t": 1.0}}, "selected": {"front": {"de": {"rev": 11}}}}),
-        ({}, {}),
-    ],
-)
-def test_strip_user_ids(spark, images, stripped):
-    kept = {"names": ["en:x"], "code": "40", "editors": ["u"], "q": 'say "x"', "n": None, "f": 2.0}
-    text = strip(spark, {**kept, **USERS, "images": images})
-    assert json.loads(text) == {**kept, "images": stripped}
-    assert text.startswith('{"names":["en:x"],"code":"40","editors"')
+def test_strip_uploaders_of_both_layouts(spark):
+    flat = {str(n): {"uploader": f"p{n}", "w": n * 100, "tags": ["uploader"]} for n in (3, 8, 21)}
+    flat["ingredients_pt"] = {"imgid": "8", "uploader": None, "crop": {"uploader": "deeper stays"}}
+    grouped = {
+        "uploaded": {"3": {"w": 300, "uploader": "p3"}, "8": {"uploader": "p8"}},
+        "selected": {"packaging": {"pt": {"imgid": "8"}, "ja": {"imgid": "3"}}, "front": {"sv": {"rev": "2"}}},
+    }
+    assert json.loads(strip(spark, {"images": flat})) == {
+        "images": {
+            "3": {"w": 300, "tags": ["uploader"]}, "8": {"w": 800, "tags": ["uploader"]}, "21": {"w": 2100, "tags": ["uploader"]},
+            "ingredients_pt": {"imgid": "8", "crop": {"uploader": "deeper stays"}},
+        }
+    }
+    assert json.loads(strip(spark, {"images": grouped})) == {
+        "images": {"uploaded": {"3": {"w": 300}, "8": {}}, "selected": grouped["selected"]}
+    }
+    assert strip(spark, {"images": {}}) == '{"images":{}}'
 
 
 def test_strip_more_names(spark):
@@ -123,6 +131,50 @@ def test_stream(spark, tmp_path, snapshot_every):
     assert writer.revisions(spark).count() == 5
 
 
+BROKEN = [
+    '{"code": "a", "position": 90',
+    "[1]",
+    json.dumps(event(51, code="a", flavor="nope", product={"rev": 70})),
+    json.dumps(event(52, code="a", product={"q": 1})),
+    json.dumps({**event(53, code="a"), "product": '{"rev": '}),
+]
+
+
+def test_refused_events(spark, tmp_path):
+    """What cannot be applied is stored with its reason and changes nothing."""
+    (tmp_path / "in").mkdir()
+    lines = [json.dumps(event(1, code="a", product={"rev": 4})), *BROKEN, json.dumps(event(54, code="")), json.dumps(event(55, code="a"))]
+    (tmp_path / "in" / "0.json").write_text("\n".join(lines) + "\n")
+    writer = feed.FeedWriter(str(tmp_path / "out"))
+    writer.start(feed.events_from_files(spark, str(tmp_path / "in")), str(tmp_path / "checkpoint"), once=True).awaitTermination()
+    refused = sorted((r.position or 0, r.reason, r.line) for r in writer.refused(spark).collect())
+    assert [r[:2] for r in refused] == [(0, "json"), (0, "json"), (51, "flavor"), (52, "document"), (53, "document")]
+    assert [r[2] for r in refused if r[1] == "json"] == sorted(BROKEN[:2])
+    assert latest(writer, spark) == {("a", 4)}
+
+
+@pytest.mark.parametrize("per_batch", [1, 2, 5])
+def test_cut_into_batches_decides_nothing(spark, tmp_path, per_batch):
+    """Late arrivals, repeated revisions and deletions, with times against the stream's order."""
+    events = [
+        event(1, code="a", product={"rev": 1}), event(5, code="a", product={"rev": 2}), event(3, "deleted", code="a"),
+        event(9, "deleted", code="b"), event(4, code="b", product={"rev": 7}), event(2, code="c", product={"rev": 1, "v": "old"}),
+        event(8, code="c", product={"rev": 1, "v": "new"}), event(6, code="c", product={"rev": 3}), event(7, code="d", product={"rev": 5}),
+        event(7, code="d", product={"rev": 5}),
+    ]
+    (tmp_path / "in").mkdir()
+    for n, e in enumerate(events):
+        e["timestamp"] = f"2024-01-01T00:{59 - e['position']:02d}:00Z"
+        (tmp_path / "in" / f"{n}.json").write_text(json.dumps(e) + "\n")
+    writer = feed.FeedWriter(str(tmp_path / "out"), snapshot_every=2)
+    stream = feed.events_from_files(spark, str(tmp_path / "in"), files_per_batch=per_batch)
+    writer.start(stream, str(tmp_path / "checkpoint"), once=True).awaitTermination()
+    assert sorted((r.code, r.rev) for r in writer.latest(spark).collect()) == [("a", 2), ("c", 1), ("d", 5)]
+    revisions = {(r.code, r.rev): r.body for r in writer.revisions(spark).collect()}
+    assert set(revisions) == {("a", 1), ("a", 2), ("b", 7), ("c", 1), ("c", 3), ("d", 5)}
+    assert json.loads(revisions["c", 1])["v"] == "new"
+
+
 def test_messages(spark):
     df = spark.createDataFrame([(bytearray(json.dumps(event(1)).encode()), 44)], "value binary, offset long")
     row = feed.events_from_messages(df).head()
