@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.common import map_columns
@@ -27,16 +27,20 @@ REGISTERS = BANDS * ROWS
 BASE = 1.08  # registers hold 0..255: exponential minima from about 8e-9 to 3
 SCALE_TOP = 15  # the register of a minimum of 1
 # Pairs whose likeliest similarity lies this far under the threshold are not
-# verified.  With 320 registers it is more than six standard deviations.
-SLACK = 0.13
-BLOCK_SHINGLES = 200_000  # of the sets compared with each other in one task
-VOCABULARY = 2_048  # shingles counted at once
+# verified.  With 320 registers it is more than four standard deviations.
+SLACK = 0.09
+# The sketch of nodes whose links are still open, and five standard deviations of its estimate.
+WIDE = 1280
+WIDE_SLACK = 0.05
+BLOCK_NODES = 1_000  # of a bucket compared with each other in one task
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 _MULTIPLY = _rng.integers(0, 2**31, REGISTERS, np.uint32) * np.uint32(2) + np.uint32(1)
 _ADD = _rng.integers(0, 2**32, REGISTERS, np.uint32)
+_WIDE_MULTIPLY = _rng.integers(0, 2**31, WIDE, np.uint32) * np.uint32(2) + np.uint32(1)
+_WIDE_ADD = _rng.integers(0, 2**32, WIDE, np.uint32)
 _POWER = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_POWER, -1, 2**64)
 
@@ -87,13 +91,13 @@ def shingle_hashes(text: str | None, size: int) -> np.ndarray:
     return np.unique(out)
 
 
-def sketch(hashes: np.ndarray) -> np.ndarray:
+def sketch(hashes: np.ndarray, multiply: np.ndarray = _MULTIPLY, add: np.ndarray = _ADD) -> np.ndarray:
     """The registers of a set, one byte each."""
-    least = np.full(REGISTERS, 0xFFFFFFFF, np.uint32)
+    least = np.full(len(multiply), 0xFFFFFFFF, np.uint32)
     small = (hashes ^ (hashes >> np.uint64(32))).astype(np.uint32)
     for at in range(0, len(small), 256):  # blocks that stay in the processor's cache
         part = small[at : at + 256]
-        x = part[None, :] * _MULTIPLY[:, None] + _ADD[:, None]
+        x = part[None, :] * multiply[:, None] + add[:, None]
         x ^= x >> np.uint32(15)
         x *= np.uint32(0x2C1B3C6D)
         np.minimum(least, x.min(axis=1), out=least)
@@ -162,9 +166,12 @@ def _band_keys(nodes: DataFrame, least: float) -> DataFrame:
         registers = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint64).reshape(-1, BANDS)
         registers = registers & np.uint64(2 ** (8 * rows) - 1)
         keys = _mix(registers ^ _mix(np.arange(1, BANDS + 1, dtype=np.uint64))[None, :])
-        return {"key": keys.reshape(-1).view(np.int64), "node": np.repeat(np.asarray(batch.column(0)), BANDS)}
+        return {
+            "key": keys.reshape(-1).view(np.int64), "band": np.tile(np.arange(BANDS, dtype=np.int32), len(keys)),
+            "node": np.repeat(np.asarray(batch.column(0)), BANDS),
+        }
 
-    return map_columns(nodes.select("node", "registers"), run, "key long, node long")
+    return map_columns(nodes.select("node", "registers"), run, "key long, band int, node long")
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
@@ -204,78 +211,64 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, threshold: tuple[in
     return given.mapInArrow(run, "a long, b long")
 
 
-def _links_between(rows: pa.Table, threshold: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Linked nodes of different parts, one from either block, by exact set sizes."""
+def _close_between(rows: pa.Table, least: float, band_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of different parts, one from either block of a bucket, whose wide registers do not rule
+    them out.  A pair is told by the first band in which it agrees, so only once."""
     node, part, n, block = (np.asarray(rows.column(c)) for c in ("node", "part", "n", "block"))
-    sets = [np.frombuffer(d, np.uint64) for d in rows.column("data").to_pylist()]
+    band = rows.column("band")[0].as_py()
+    bands = np.frombuffer(b"".join(rows.column("registers").to_pylist()), np.uint64).reshape(len(node), BANDS)
+    bands = bands & np.uint64(2 ** (8 * band_rows) - 1)
+    wide = np.frombuffer(b"".join(rows.column("wide").to_pylist()), np.uint8).reshape(len(node), WIDE)
     left, right = np.flatnonzero(block == rows.column("lo")[0].as_py()), np.flatnonzero(block == rows.column("hi")[0].as_py())
-    shared = np.zeros((len(left), len(right)), np.float32)
-    value, index, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    keep = count[index] > 1
-    index, owner = index[keep], owner[keep]
-    order = np.argsort(index, kind="stable")
-    index, owner = index[order], owner[order]
-    spots = np.searchsorted(index, np.arange(0, len(value) + VOCABULARY, VOCABULARY))
-    for k, (start, stop) in enumerate(zip(spots[:-1], spots[1:])):
-        if start < stop:
-            here = np.zeros((len(sets), VOCABULARY), np.float32)
-            here[owner[start:stop], index[start:stop] - k * VOCABULARY] = 1
-            shared += here[left] @ here[right].T
-    both = shared.astype(np.int64)
-    good = threshold[1] * both >= threshold[0] * (n[left][:, None] + n[right][None, :] - both)
-    good &= part[left][:, None] != part[right][None, :]
-    i, j = np.nonzero(good)
-    a, b = node[left[i]], node[right[j]]
-    return np.minimum(a, b), np.maximum(a, b)
-
-
-def _rare_links(nodes: DataFrame, texts: DataFrame, size: int, threshold: tuple[int, int], store) -> DataFrame:
-    """All links ``a, b`` between nodes of different parts, on full sets.
-
-    Two sets at the threshold must share one of the first ``n - ceil(t n) + 1``
-    shingles of either, in any one order.  In the order of rarity these are
-    mostly a text's own, so few nodes meet.  Those that do are compared exactly,
-    in blocks of bounded size, and only links leave the task.
+    out: tuple[list, list] = ([], [])
+    for at in range(0, len(left), 256):
+        some = left[at : at + 256]
+        wanted = part[some][:, None] != part[right][None, :]
+        small, large = (f(n[some][:, None], n[right][None, :]) for f in (np.minimum, np.maximum))
+        wanted &= small >= large * (least - 1e-9)
+        for k in range(band):
+            wanted &= bands[some, k][:, None] != bands[right, k][None, :]
+        i, j = np.nonzero(wanted)
+        for k in range(0, len(i), 20_000):
+            x, y = some[i[k : k + 20_000]], right[j[k : k + 20_000]]
+            good = (wide[x] == wide[y]).mean(1) >= least - 2 * WIDE_SLACK
+            x, y = x[good], y[good]
+            good = likeliest_similarity(wide[x], wide[y], n[x].astype(float), n[y].astype(float)) >= least - WIDE_SLACK
+            out[0].append(np.minimum(node[x], node[y])[good])
+            out[1].append(np.maximum(node[x], node[y])[good])
+    empty = [np.empty(0, np.int64)]
+    return np.concatenate(out[0] or empty), np.concatenate(out[1] or empty)
+
+
+def _open_pairs(mixed: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, least: float, store) -> DataFrame:
+    """Likely pairs ``a, b`` of different parts that share a bucket.
+
+    Only the nodes of such buckets get a wider sketch.  Large buckets are dealt
+    into blocks, each pair of blocks is one group of bounded size, and only
+    pairs that are likely leave it: texts that are merely related stay inside.
     """
+    band_rows = _band_rows(least)
+    wanted = mixed.select("node").distinct()
 
-    def pack(batch) -> dict:
+    def widen(batch) -> dict:
         sets = [shingle_hashes(t, size) for t in batch.column(1).to_pylist()]
-        return {"node": batch.column(0), "n": [len(s) for s in sets], "data": [s.tobytes() for s in sets]}
+        return {"node": batch.column(0), "wide": [sketch(s, _WIDE_MULTIPLY, _WIDE_ADD).tobytes() for s in sets]}
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for node, n, data in zip(*(batch.column(c).to_pylist() for c in ("node", "n", "data"))):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.frombuffer(data, np.int64)), pa.array(np.full(n, node, np.int64)), pa.array(np.full(n, n, np.int64))],
-                    names=["token", "node", "n"],
-                )
-
-    wanted = texts.toDF("node", "text").join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
-    sets = store(map_columns(wanted, pack, "node long, n long, data binary"), "sets")
-    tokens = sets.mapInArrow(spread, "token long, node long, n long")
-    rarity = tokens.groupBy("token").agg(F.count("*").alias("df"))
-    at = Window.partitionBy("node").orderBy("df", "token")
-    first = F.col("n") - F.ceil(F.col("n") * threshold[0] / threshold[1] - 1e-9) + 1
-    prefix = (
-        tokens.join(rarity, "token").withColumn("place", F.row_number().over(at))
-        .where((F.col("place") <= first) & (F.col("df") > 1)).select("token", "node", "n").join(nodes, "node")
-    )
-    prefix = store(prefix, "prefix")
-    counted = prefix.groupBy("token").agg(
-        F.min("part").alias("low"), F.max("part").alias("high"), F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks")
-    ).where("low < high").select("token", "blocks")
+    own = texts.toDF("node", "text").join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    known = nodes.select("node", F.col("n_shingles").alias("n"), "registers").join(map_columns(own, widen, "node long, wide binary"), "node")
+    known = store(known.dropDuplicates(["node"]), "wide")
+    blocks = mixed.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_NODES).cast("int").alias("blocks"))
     dealt = (
-        prefix.join(counted, "token").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        mixed.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("token", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "part")
+        .select("key", "band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "part")
     )
 
     def compare(rows: pa.Table) -> pa.Table:
-        a, b = _links_between(rows, threshold)
+        a, b = _close_between(rows, least, band_rows)
         return pa.table({"a": a, "b": b})
 
-    return dealt.join(sets, "node").groupBy("token", "lo", "hi").applyInArrow(compare, "a long, b long").distinct()
+    return dealt.join(known, "node").groupBy("key", "lo", "hi").applyInArrow(compare, "a long, b long").where("a <> b").distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
@@ -283,9 +276,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
 
     Two documents are linked if ``threshold[1] * |A & B| >= threshold[0] * |A | B|``.
     Documents with equal sets become one node first.  In every bucket of a band
-    the smallest node is tried with all others.  Nodes of buckets that still hold
-    several components are then joined on their rarest shingles, which finds
-    every link between components that is left among them.
+    the smallest node is tried with all others.  In buckets that still hold
+    several components all pairs between these are then compared by wider
+    sketches, in blocks, and the likely ones verified.
 
     Every row is placed by its own text, so repeated rows fall together; should
     different texts share an id that is the smallest of their classes, the
@@ -309,7 +302,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
     )
     buckets = _band_keys(nodes, least)
     shared = buckets.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1")
-    members = store(buckets.join(shared, "key").select("key", "pivot", "node"), "members")
+    members = store(buckets.join(shared, "key").select("key", "band", "pivot", "node"), "members")
     stars = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     likely = store(_likely(stars, nodes, least), "likely")
@@ -317,20 +310,19 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
     parts = connected_components(links)
     # Buckets with several components.
     labelled = members.join(parts.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").select(
-        "key", "node", F.coalesce("component", "node").alias("part")
+        "key", "band", "node", F.coalesce("component", "node").alias("part")
     )
-    mixed = labelled.groupBy("key", "part").agg(F.count("*").alias("n")).groupBy("key").agg(
-        F.max_by("part", F.struct("n", "part")).alias("largest"), F.count("*").alias("parts")
-    ).where("parts > 1")
-    mixed = store(labelled.join(mixed, "key").select("key", "node", "part", "largest"), "mixed")
-    more = store(_rare_links(mixed.select("node", "part").distinct(), texts, size, threshold, store), "links")
+    several = labelled.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
+    mixed = store(labelled.join(several, "key").select("key", "band", "node", "part"), "mixed")
+    more_likely = store(_open_pairs(mixed, nodes, texts, size, least, store), "likely")
+    more = store(_verified(more_likely, _texts_of(more_likely, texts), size, threshold), "links")
     parts = connected_components(links.union(more))
     # Rows of one class share its node, and rows of one id its smallest component.
     placed = classes.join(parts.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").select(
         "s1", "s2", "n_shingles", F.coalesce("component", "node").alias("component")
     )
     joined = rows.join(placed, ["s1", "s2", "n_shingles"], "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")
     )
     return joined.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
