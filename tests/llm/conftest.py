@@ -1,0 +1,8 @@
+import pytest
+
+
+@pytest.fixture(autouse=True)
+def _tuned(spark):
+    from larder.llm.common import tune
+
+    tune(spark)
