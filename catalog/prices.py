@@ -143,7 +143,7 @@ def strict_validate(spark, sf):
             "'receipt_price_total', CAST(o_totalprice AS DECIMAL(12,2)), 'owner', CAST(o_custkey AS STRING)))"
         ).alias("line")
     )
-    proofs = strict(parse_proofs(lines), "proof", "id")
+    proofs = strict(parse_proofs(lines), "proof")
     return proofs.select(
         "id", "currency", F.date_format("date", "yyyy-MM-dd").alias("date"),
         F.col("receipt_price_total").cast("string").alias("total"), "owner",

@@ -140,15 +140,20 @@ def aggregated_nutrients(text: str) -> str:
 
     Sold-as-is sets fill the plain slots, any other preparation the prepared
     ones; per 100 g or 100 ml goes to the 100g slot, everything else to serving.
-    ``value`` and ``prepared_value`` stay NULL.
+    ``value`` and ``prepared_value`` stay NULL.  A set that is no object, has no
+    nutrients, or names its amount or preparation by anything but text gives an
+    array holding one NULL.
     """
+    raw = f"from_json({text}, 'aggregated_set variant', {JSON_OPTIONS}).aggregated_set"
     parsed = (
         f"from_json({text}, 'aggregated_set struct<nutrients map<string,variant>, "
-        f"per string, preparation string>', {JSON_OPTIONS}).aggregated_set"
+        f"per variant, preparation variant>', {JSON_OPTIONS}).aggregated_set"
     )
     amount, unit = to_float("r.value"), to_str("r.unit")
-    per_100 = "g.per IN ('100g', '100ml')"
-    sold = "g.preparation = 'as_sold'"
+    # Absent members count as any other amount and preparation.
+    per_100 = f"coalesce({to_str('g.per')} IN ('100g', '100ml'), false)"
+    sold = f"coalesce({to_str('g.preparation')} = 'as_sold', false)"
+    odd = f"({misfit('g.per', to_str('g.per'))} OR {misfit('g.preparation', to_str('g.preparation'))})"
     none = "CAST(NULL AS FLOAT)"
     value = _nutrient(
         "e.key",
@@ -166,12 +171,15 @@ def aggregated_nutrients(text: str) -> str:
     )
     record = as_record("e.value", ("value", "unit"))
     each = f"transform(d, e -> {let(record, 'r', f'CASE WHEN {fits} THEN {value} END')})"
-    return let(
+    filled = let(
         parsed,
         "g",
-        f"CASE WHEN g IS NULL THEN NULL WHEN g.nutrients IS NULL THEN array(NULL) "
+        f"CASE WHEN g IS NULL OR g.nutrients IS NULL OR {odd} THEN array(NULL) "
         f"ELSE {let('map_entries(g.nutrients)', 'm', let(last_wins('m'), 'd', each))} END",
     )
+    return let(
+        raw, "w", f"CASE WHEN {nothing('w')} THEN NULL WHEN {as_object('w')} IS NULL THEN array(NULL) ELSE {filled} END"
+    )
 
 
 def nutrients(version: str, nutriments_text: str, nutrition_text: str) -> str:

@@ -79,15 +79,15 @@ def parse_records(lines: DataFrame, schema: T.StructType, required: tuple[str, .
     )
 
 
-def strict(rows: DataFrame, what: str, on_column: str) -> DataFrame:
+def strict(rows: DataFrame, what: str) -> DataFrame:
     """Fail the job at the first row with errors.
 
-    The check rides on ``on_column``, so it needs no pass of its own.
+    The check is a filter in the same pass, so it holds whichever columns are
+    read afterwards.
     """
     message = F.concat(F.lit(f"bad {what}: "), F.array_join("_errors", ", "), F.lit(" in "), F.col("line"))
-    kind = rows.schema[on_column].dataType
-    checked = F.when(F.size("_errors") > 0, F.raise_error(message).cast(kind)).otherwise(F.col(on_column))
-    return rows.withColumn(on_column, checked).drop("_errors", "line")
+    fine = F.when(F.size("_errors") > 0, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return rows.filter(fine).drop("_errors", "line")
 
 
 def _input(columns: str, extra: str = "") -> T.StructType:
@@ -99,11 +99,11 @@ def parse_prices(lines: DataFrame) -> DataFrame:
 
 
 def parse_proofs(lines: DataFrame) -> DataFrame:
-    return _hashed(parse_records(lines, _input(PROOF_COLUMNS, PROOF_INPUT_ONLY), ("type",)))
+    return _hashed(parse_records(lines, _input(PROOF_COLUMNS, PROOF_INPUT_ONLY), ("id", "type")))
 
 
 def parse_locations(lines: DataFrame) -> DataFrame:
-    return parse_records(lines, _input(LOCATION_COLUMNS, LOCATION_INPUT_ONLY), ("type",))
+    return parse_records(lines, _input(LOCATION_COLUMNS, LOCATION_INPUT_ONLY), ("id", "type"))
 
 
 def _hashed(rows: DataFrame) -> DataFrame:
@@ -148,7 +148,7 @@ def export_prices(
     locations = parse_locations(read_lines(spark, sources["location"], position=True))
     if on_error == "fail":
         flat = join_prices(
-            strict(prices, "price", "id"), strict(proofs, "proof", "id"), strict(locations, "location", "id")
+            strict(prices, "price"), strict(proofs, "proof"), strict(locations, "location")
         )
         write_parquet(flat, target, price_schema())
         return

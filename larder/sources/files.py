@@ -20,10 +20,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def require_path(spark: SparkSession, path: str) -> None:
-    if not path_exists(spark, path):
+    """``path`` names a file or folder, or is a glob that matches something."""
+    jvm_path, fs = _hadoop_path(spark, path)
+    if not fs.globStatus(jvm_path):
         raise FileNotFoundError(path)
 
 
+def _all_compressed(lines: DataFrame) -> bool:
+    """Whether every input file is one that cannot be split."""
+    files = lines.inputFiles()
+    return bool(files) and all(f.endswith((".gz", ".gzip")) for f in files)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     jvm_path, fs = _hadoop_path(spark, path)
     fs.delete(jvm_path, True)
@@ -37,15 +45,22 @@ def staging_path(target: str) -> str:
 def move_into_place(spark: SparkSession, staged: str, target: str) -> None:
     """Replace ``target`` by finished output.
 
-    Readers of ``target`` never see a half-written dataset: the old one stays
-    until the new one is complete.  On object stores the move is a copy.
+    Readers of ``target`` never see a half-written dataset: the old one is moved
+    aside, deleted once the new one is in place, and put back if that fails.  On
+    object stores the move is a copy.
     """
     staged_path, fs = _hadoop_path(spark, staged)
     target_path, _ = _hadoop_path(spark, target)
-    if fs.exists(target_path):
-        fs.delete(target_path, True)
+    aside_path, _ = _hadoop_path(spark, f"{target.rstrip('/')}.replaced-{uuid.uuid4().hex}")
+    replaced = fs.exists(target_path)
+    if replaced and not fs.rename(target_path, aside_path):
+        raise OSError(f"could not move {target} aside")
     if not fs.rename(staged_path, target_path):
+        if replaced:
+            fs.rename(aside_path, target_path)
         raise OSError(f"could not move {staged} to {target}")
+    if replaced:
+        fs.delete(aside_path, True)
 
 
 def read_lines(spark: SparkSession, path: str, position: bool = False) -> DataFrame:
@@ -68,8 +83,7 @@ def read_lines(spark: SparkSession, path: str, position: bool = False) -> DataFr
             ).alias("pos")
         )
     lines = lines.select(*columns)
-    compressed = path.endswith((".gz", ".gzip"))
-    return spread(lines) if compressed else lines
+    return spread(lines) if _all_compressed(lines) else lines
 
 
 def spread(df: DataFrame) -> DataFrame:

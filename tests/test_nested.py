@@ -53,22 +53,29 @@ def test_language_misfits(spark):
     assert languages(spark, {}) == []
 
 
-FLAT = {
-    "1": {"sizes": {"100": {"h": 10, "w": 6}, "400": {"h": 40, "w": 22}, "full": {"h": 355, "w": 200}}, "uploaded_t": "1490000000", "uploader": "ann"},
-    "nutrition_fr": {"angle": None, "imgid": "1", "rev": "18", "sizes": {"100": {"h": 5, "w": 10}, "200": {"h": 10, "w": 20}}, "white_magic": "0"},
-}
-GROUPED = {
-    "uploaded": {"1": {"sizes": {k: {**s, "url": "http://x/1.jpg"} for k, s in FLAT["1"]["sizes"].items()}, "uploaded_t": "1490000000", "uploader": "ann"}},
-    "selected": {"nutrition": {"fr": {"imgid": "1", "rev": "18", "sizes": FLAT["nutrition_fr"]["sizes"], "generation": {"angle": None, "white_magic": "0"}}}},
-}
-
-
-def test_image_layouts_agree(spark):
-    flat, grouped = (value(spark, images.images_array("t"), json.dumps(d)) for d in (FLAT, GROUPED))
-    assert flat == grouped
-    assert [i["key"] for i in flat] == ["1", "nutrition_fr"]
-    assert flat[1]["imgid"] == 1 and flat[1]["rev"] == 18 and flat[0]["uploaded_t"] == 1490000000
-    assert flat[0]["sizes"] == {"100": {"h": 10, "w": 6}, "200": None, "400": {"h": 40, "w": 22}, "full": {"h": 355, "w": 200}}
+def test_flat_images(spark):
+    doc = {
+        "12": {"uploader": "zoe", "uploaded_t": 1700000005, "sizes": {"full": {"h": 9, "w": 8}}},
+        "other_ja": {"imgid": 12, "rev": "44", "angle": "90", "sizes": {"200": {"h": "20", "w": 11}, "300": {"h": 1, "w": 1}, "full": {"h": 9, "w": 8}}},
+    }
+    none = {"100": None, "200": None, "400": None}
+    assert value(spark, images.images_array("t"), json.dumps(doc)) == [
+        {"key": "12", "imgid": None, "rev": None, "sizes": {**none, "full": {"h": 9, "w": 8}}, "uploaded_t": 1700000005, "uploader": "zoe"},
+        {"key": "other_ja", "imgid": 12, "rev": 44, "sizes": {**none, "200": {"h": 20, "w": 11}, "full": {"h": 9, "w": 8}}, "uploaded_t": None, "uploader": None},
+    ]
+
+
+def test_grouped_images(spark):
+    """Uploads keep their id, selections are named by kind and language."""
+    doc = {
+        "uploaded": {"7": {"uploaded_t": "1700000009", "sizes": {"400": {"h": 3, "w": 4, "url": "u"}}}},
+        "selected": {"packaging": {"pt": {"imgid": "7", "rev": 5}, "sv": {"imgid": "7", "rev": 6, "generation": {"coordinates_image_size": "full"}}}},
+    }
+    rows = value(spark, images.images_array("t"), json.dumps(doc))
+    assert [(r["key"], r["imgid"], r["rev"], r["uploaded_t"]) for r in rows] == [
+        ("7", None, None, 1700000009), ("packaging_pt", 7, 5, None), ("packaging_sv", 7, 6, None)
+    ]
+    assert rows[0]["sizes"] == {"100": None, "200": None, "400": {"h": 3, "w": 4}, "full": None}
 
 
 @pytest.mark.parametrize(
@@ -103,17 +110,6 @@ def pivot(spark, doc):
     return named(value(spark, nutriments.pivot_suffixes("t"), json.dumps(doc) if doc is not None else None))
 
 
-def brute_pivot(doc):
-    """The suffix rules, spelled out per key."""
-    out = {}
-    for key, val in doc.items():
-        for suffix, slot in nutriments.SUFFIXES:
-            if key.endswith(suffix):
-                key = key.replace(suffix, "")
-                out.setdefault(key, {})[slot] = val
-    return out
-
-
 def test_pivot_simple(spark):
     doc = {"salt_100g": 0.5, "salt_unit": "g", "salt": 1, "fat_prepared_value": "2", "salt_serving": None}
     assert pivot(spark, doc) == {"salt": {"100g": 0.5, "unit": "g"}, "fat": {"prepared_value": 2.0}}
@@ -129,23 +125,42 @@ def test_pivot_edges(spark):
     assert pivot(spark, [1]) == [None]
 
 
-def test_pivot_against_brute_force(spark):
-    rng = random.Random(3)
-    tokens = ["_100g", "_unit", "_value", "_serving", "_prepared", "a", "b_c", "-"]
-    docs = []
-    for _ in range(300):
-        keys = {"".join(rng.choice(tokens) for _ in range(rng.randint(1, 5))) for _ in range(12)}
-        # Keys that fill both a text and a number slot can never fit.
-        keys = [k for k in keys if len({s.endswith("unit") for s in _slots(k)}) == 1]
-        docs.append({k: "g" if _slots(k)[0].endswith("unit") else float(rng.randint(0, 9)) for k in keys})
-    df = spark.createDataFrame([(json.dumps(d),) for d in docs], "t string")
-    got = df.select("t", F.expr(nutriments.pivot_suffixes("t")).alias("x")).collect()
-    for row in got:
-        assert (named(_plain(row.x)) or {}) == brute_pivot(json.loads(row.t))
+# Key, then the (nutrient, slot) pairs it fills, written out by hand.
+PIVOT_KEYS = {
+    "zinc_value": [("zinc", "value")],
+    "zinc_100g": [("zinc", "100g")],
+    "zinc_serving": [("zinc", "serving")],
+    "zinc_unit": [("zinc", "unit")],
+    "zinc_prepared_value": [("zinc", "prepared_value")],
+    "zinc_prepared_100g": [("zinc", "prepared_100g")],
+    "zinc_prepared_serving": [("zinc", "prepared_serving")],
+    "zinc_prepared_unit": [("zinc", "prepared_unit")],
+    "omega-3-fat_100g": [("omega-3-fat", "100g")],
+    "zinc": [],
+    "zinc_100G": [],
+    "100g": [],
+    "zinc_label": [],
+}
+
 
+@pytest.mark.parametrize("key", PIVOT_KEYS)
+def test_pivot_of_one_key(spark, key):
+    text = key.endswith("unit")
+    rows = value(spark, nutriments.pivot_suffixes("t"), json.dumps({key: "mg" if text else 4.25}))
+    got = [(r["name"], slot) for r in rows for slot, x in r.items() if slot != "name" and x is not None]
+    assert got == PIVOT_KEYS[key]
 
-def _slots(key):
-    return [s for slots in brute_pivot({key: 1}).values() for s in slots]
+
+def test_pivot_of_many_keys(spark):
+    """Slots of one nutrient meet, however they are mixed; 600 keys of 150 nutrients."""
+    keys = [(f"n{k}", slot) for k in range(150) for slot in ("value", "100g", "unit", "prepared_serving")]
+    random.Random(3).shuffle(keys)
+    doc = {f"{name}_{slot}": "g" if slot == "unit" else float(len(name)) for name, slot in keys}
+    rows = value(spark, nutriments.pivot_suffixes("t"), json.dumps(doc))
+    assert sorted(r["name"] for r in rows) == sorted({n for n, _ in keys})
+    for r in rows:
+        filled = {slot: x for slot, x in r.items() if x is not None and slot != "name"}
+        assert filled == {"value": len(r["name"]), "100g": len(r["name"]), "prepared_serving": len(r["name"]), "unit": "g"}
 
 
 @pytest.mark.parametrize(
@@ -162,6 +177,19 @@ def test_aggregated_set(spark, per, preparation, slot, unit):
     assert filled == [{slot: 0.5, unit: "g"}, {slot: 0.0, unit: "kJ"}]
 
 
+@pytest.mark.parametrize("left_out, slot", [("per", "serving"), ("preparation", "prepared_100g")])
+def test_aggregated_set_without_a_member(spark, left_out, slot):
+    doc = {"nutrients": {"iron": {"unit": "mg", "value": 7}}, "per": "100g", "preparation": "as_sold"}
+    del doc[left_out]
+    rows = value(spark, nutriments.aggregated_nutrients("t"), json.dumps({"aggregated_set": doc}))
+    assert [(r["name"], r[slot]) for r in rows] == [("iron", 7.0)]
+
+
+@pytest.mark.parametrize("bad", [5, "set", [1], {}, {"nutrients": {}, "per": 5}, {"nutrients": {}, "preparation": True}, {"nutrients": [1]}])
+def test_aggregated_set_misfits(spark, bad):
+    assert value(spark, nutriments.aggregated_nutrients("t"), json.dumps({"aggregated_set": bad})) == [None]
+
+
 def test_no_aggregated_set(spark):
     assert value(spark, nutriments.aggregated_nutrients("t"), '{"input_sets": []}') is None
     assert value(spark, nutriments.aggregated_nutrients("t"), None) is None
@@ -210,18 +238,28 @@ def test_empty_ingredient_lists(spark):
     assert json.loads(text)[0]["ingredients"] == []
 
 
-@pytest.mark.parametrize("depth", [2, ingredients.DEPTH + 3])
-def test_pruned_ingredients(spark, depth):
-    doc = nest(depth, {"id": "en:leaf", "vegan": "yes", "ingredients": []})
+def pruned(spark, doc):
     df = spark.createDataFrame([(json.dumps(doc),)], "t string").withColumn("v", F.expr("parse_json(t)"))
     df = df.select("v", F.expr(ingredients.pruned_draft("v")).alias("d"))
     deep = F.expr(f"CASE WHEN {ingredients.too_deep('d')} THEN to_json(v) END")
-    x = df.select(F.coalesce(F.expr(ingredients.settle("d")), ingredients.deep_pruned(deep)).alias("x")).head().x
+    return json.loads(df.select(F.coalesce(F.expr(ingredients.settle("d")), ingredients.deep_pruned(deep)).alias("x")).head().x)
+
+
+def test_pruned_ingredients(spark):
+    doc = [{"id": "en:oat", "vegan": "yes", "percent": 60}, {"text": "icing", "ingredients": [{"id": "en:rye", "rank": 1, "ingredients": []}]}]
+    assert pruned(spark, doc) == [{"id": "en:oat"}, {"text": "icing", "ingredients": [{"id": "en:rye", "ingredients": None}]}]
 
-    def prune(i):
-        return {k: (v if k != "ingredients" else [prune(c) for c in v] or None) for k, v in i.items() if k in ("text", "id", "ingredients")}
 
-    assert json.loads(x) == [prune(i) for i in doc]
+def test_pruned_ingredients_below_the_unrolled_levels(spark):
+    doc = [{"id": "l7", "x": 7}]
+    for level in range(6, 0, -1):
+        doc = [{"id": f"l{level}", "x": level, "ingredients": doc}]
+    found, seen = pruned(spark, doc), []
+    while found:
+        assert set(found[0]) <= {"id", "ingredients"} and len(found) == 1
+        seen.append(found[0]["id"])
+        found = found[0].get("ingredients")
+    assert seen == [f"l{level}" for level in range(1, 8)]
 
 
 def test_owner_fields(spark):

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from larder.operators.joins import last_wins_rows, lookup_join
-from larder.plans.prices import export_prices, parse_prices
+from larder.plans.prices import export_prices, parse_prices, parse_proofs, strict
 from larder.schemas import price_schema
 
 PRICES = [
@@ -57,6 +57,8 @@ BAD = [
     (dict(prices=PRICES + ['{"id": 4']), "json"),
     (dict(proofs=PROOFS + [{"id": 12, "type": None}]), "type"),
     (dict(locations=LOCATIONS + [{"id": 21, "type": "OSM", "osm_lat": "north"}]), "osm_lat"),
+    (dict(proofs=PROOFS + [{"type": "RECEIPT"}]), "id"),
+    (dict(locations=LOCATIONS + [{"id": None, "type": "OSM"}]), "id"),
     (dict(prices=PRICES + [{"id": 4, "type": "P", "proof_id": 99}]), "unknown proof_id: 99"),
     (dict(prices=PRICES + [{"id": 4, "type": "P", "location_id": 99}]), "unknown location_id: 99"),
 ]
@@ -136,3 +138,10 @@ def test_hot_key_is_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_strict_holds_for_every_selection(spark):
+    lines = spark.createDataFrame([('{"type": "RECEIPT", "owner": "x"}',)], "line string")
+    for read in (lambda df: df.select("owner").collect(), lambda df: df.count()):
+        with pytest.raises(Exception, match="bad proof: id"):
+            read(strict(parse_proofs(lines), "proof"))

@@ -89,3 +89,16 @@ def test_taxonomy(spark):
     assert leaves == {(1, "e"), (1, "x"), (2, "b"), (2, "c"), (3, "a")}
     found = {(r.k, r.tag): (r.name, r.in_taxonomy) for r in lookup_tags(tagged, nodes, "en").collect()}
     assert found[(1, "zz")] == (None, False) and found[(2, "b")] == ("B", True)
+
+
+def test_folders_and_globs_of_compressed_files(spark, tmp_path):
+    import gzip
+
+    for n in range(2):
+        with gzip.open(tmp_path / f"part-{n}.jsonl.gz", "wt") as out:
+            out.write("".join(f'{{"n": {n}, "k": {k}}}\n' for k in range(50)))
+    for path in (str(tmp_path), f"{tmp_path}/part-*.jsonl.gz"):
+        lines = files.read_lines(spark, path)
+        assert lines.count() == 100 and lines.rdd.getNumPartitions() > 2
+    with pytest.raises(FileNotFoundError):
+        files.read_lines(spark, f"{tmp_path}/none-*.gz")
