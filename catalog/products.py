@@ -470,6 +470,14 @@ def _nested(spark, sf):
     return _docs(joined, "s_suppkey", _NESTED_TEXT)
 
 
+def _finished(drafts, helper):
+    """Drafts settled in the JVM; only rows that nest deeper pass through the helper."""
+    deep = F.expr(f"coalesce({ingredients.too_deep('t')}, false)")
+    shallow = drafts.filter(~deep).select("s_suppkey", F.expr(ingredients.settle("t")).alias("ingredients"))
+    rest = drafts.filter(deep).select("s_suppkey", helper(F.to_json("d")).alias("ingredients"))
+    return shallow.unionByName(rest)
+
+
 def _ingredient_sql(**given: str) -> str:
     """SQL text of one written-out ingredient."""
     parts = ["'\"" + name + "\":' || " + given.get(name, "'null'") for name, _ in ingredient_fields()]
@@ -486,9 +494,29 @@ _END = _ingredient_sql(id="'\"end\"'", ingredients="'[]'")
 @catalog.query(f"SELECT s_suppkey, '[' || {_TOP} || ',' || {_END} || ']' AS ingredients {_GEO_SQL}")
 def ingredients_json(spark, sf):
     drafts = _nested(spark, sf).select("s_suppkey", "d", F.expr(ingredients.ingredients_draft("d")).alias("t"))
-    deep = F.expr(f"CASE WHEN {ingredients.too_deep('t')} THEN to_json(d) END")
-    settled = F.coalesce(F.expr(ingredients.settle("t")), ingredients.deep_ingredients(deep))
-    return drafts.select("s_suppkey", settled.alias("ingredients"))
+    return _finished(drafts, ingredients.deep_ingredients)
+
+
+def _deep_sql() -> str:
+    """``nest``: the text of supplier ingredients inside 1 + s_suppkey % 11 more levels."""
+    level = _ingredient_sql(id="'\"k' || k || '\"'", ingredients="'[' || inner_text || ']'")
+    leaf = _ingredient_sql(text="'\"' || s_name || '\"'", is_in_taxonomy="CAST(s_suppkey AS VARCHAR)")
+    return f"""
+        WITH RECURSIVE nest AS (
+            SELECT s_suppkey, 0 AS k, s_suppkey % 11 + 1 AS top, {leaf} AS inner_text FROM supplier
+            UNION ALL
+            SELECT s_suppkey, k + 1, top, {level.replace("|| k ||", "|| (k + 1) ||")} FROM nest WHERE k < top)
+        SELECT s_suppkey, CASE WHEN s_suppkey % 5 <> 0 THEN '[' || inner_text || ']' END AS ingredients FROM nest WHERE k = top"""
+
+
+@catalog.query(_deep_sql())
+def ingredients_deep(spark, sf):
+    """Two to twelve levels; every fifth list holds a number too large at its deepest level and is refused."""
+    suppliers = spread_table(spark, sf, "supplier")
+    leaf = "concat('{\"text\":\"', s_name, '\",\"is_in_taxonomy\":', CASE WHEN s_suppkey % 5 = 0 THEN '99999999999999999999' ELSE CAST(s_suppkey AS STRING) END, '}')"
+    nested = f"aggregate(sequence(1, CAST(s_suppkey % 11 + 1 AS INT)), {leaf}, (t, k) -> concat('{{\"id\":\"k', k, '\",\"ingredients\":[', t, ']}}'))"
+    docs = suppliers.select("s_suppkey", F.expr(f"parse_json(concat('[', {nested}, ']'))").alias("d"))
+    return _finished(docs.select("s_suppkey", "d", F.expr(ingredients.ingredients_draft("d")).alias("t")), ingredients.deep_ingredients)
 
 
 @catalog.query(f"SELECT s_suppkey, 'r' || r_regionkey AS first_id, 'end' AS second_id, r_name AS first_text {_GEO_SQL}")
@@ -507,9 +535,7 @@ def ingredient_nth(spark, sf):
 """)
 def ingredient_prune(spark, sf):
     drafts = _nested(spark, sf).select("s_suppkey", "d", F.expr(ingredients.pruned_draft("d")).alias("t"))
-    deep = F.expr(f"CASE WHEN {ingredients.too_deep('t')} THEN to_json(d) END")
-    settled = F.coalesce(F.expr(ingredients.settle("t")), ingredients.deep_pruned(deep))
-    return drafts.select("s_suppkey", settled.alias("ingredients"))
+    return _finished(drafts, ingredients.deep_pruned)
 
 
 # --- dumps ----------------------------------------------------------------------------------------

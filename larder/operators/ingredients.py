@@ -88,28 +88,28 @@ def ingredients_misfit(v: str, column: str) -> str:
 
 # --- the same rules for deeper documents -----------------------------------------
 
-_INT_TEXT = re.compile(r"\s*([+-]?\d+(?:_\d+)*)(?:\.0*)?\s*")
+_INT_TEXT = re.compile(r"\s*([+-]?[0-9]+(?:_[0-9]+)*)(?:\.0*)?\s*")
+_INT_RANGE = range(-(2**63), 2**63)
 
 
 def _as_float(value) -> float:
-    if isinstance(value, str):
-        return float(value)
-    if isinstance(value, (bool, int, float)):
+    if isinstance(value, str) and not value.isascii():
+        raise ValueError("no number")
+    if isinstance(value, (str, bool, int, float)):
         return float(value)
     raise ValueError("no number")
 
 
 def _as_int(value) -> int:
+    whole = None
     if isinstance(value, str):
         match = _INT_TEXT.fullmatch(value)
-        if not match:
-            raise ValueError("no whole number")
-        return int(match.group(1))
-    if isinstance(value, float) and not value.is_integer():
+        whole = int(match.group(1)) if match else None
+    elif isinstance(value, (bool, int)) or (isinstance(value, float) and value.is_integer()):
+        whole = int(value)
+    if whole is None or whole not in _INT_RANGE:
         raise ValueError("no whole number")
-    if isinstance(value, (bool, int, float)):
-        return int(value)
-    raise ValueError("no number")
+    return whole
 
 
 def _float_json(value: float) -> str:
@@ -186,7 +186,9 @@ def pruned_draft(v: str, depth: int = DEPTH) -> str:
     return _list_text(v, PRUNED_NAMES, lambda i, n: _pruned_text(i, n, depth), 1)
 
 
-def _prune(ingredient: dict) -> dict:
+def _prune(ingredient) -> dict:
+    if not isinstance(ingredient, dict):
+        raise ValueError("no object")
     kept = {k: ingredient[k] for k in ("id", "text") if k in ingredient}
     if "ingredients" in ingredient:
         kept["ingredients"] = [_prune(i) for i in ingredient["ingredients"] or []] or None
@@ -200,7 +202,10 @@ def deep_pruned(texts: pd.Series) -> pd.Series:
     def one(text):
         if text is None:
             return None
-        pruned = [_prune(i) for i in json.loads(text)]
+        try:
+            pruned = [_prune(i) for i in json.loads(text)]
+        except (TypeError, ValueError):
+            return None
         return json.dumps(pruned, ensure_ascii=False, separators=(",", ":"))
 
     return texts.map(one)

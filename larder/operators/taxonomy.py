@@ -23,34 +23,32 @@ def lookup_tags(tagged: DataFrame, nodes: DataFrame, lang: str, tag: str = "tag"
     )
 
 
-def ancestors(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
+def ancestors(edges: DataFrame) -> DataFrame:
     """All (node, ancestor) pairs of the graph.
 
-    Each round joins only the pairs found in the round before and stores what is
-    new, so the lineage stays short and diamonds or cycles add nothing twice.
+    Each round joins the pairs found in the round before with all known pairs,
+    so the length of the paths doubles, and stores what is new: the lineage stays
+    short, diamonds or cycles add nothing twice, and it ends by itself.
     """
     spark = edges.sparkSession
     root = scratch_path(spark, "ancestors")
     base = edges.select(F.col("child").alias("node"), F.col("parent").alias("ancestor")).distinct()
     base.write.parquet(f"{root}/round=0")
-    step = spark.read.parquet(f"{root}/round=0").select(
-        F.col("node").alias("_from"), F.col("ancestor").alias("_to")
-    )
-    for n in range(1, max_rounds + 1):
+    n = 1
+    while True:
         last = spark.read.parquet(f"{root}/round={n - 1}")
-        if last.isEmpty():
-            break
         found = spark.read.parquet(*[f"{root}/round={i}" for i in range(n)])
+        if last.isEmpty():
+            return found
+        known = found.select(F.col("node").alias("_from"), F.col("ancestor").alias("_to"))
         fresh = (
-            last.join(step, F.col("ancestor") == F.col("_from"))
+            last.join(known, F.col("ancestor") == F.col("_from"))
             .select("node", F.col("_to").alias("ancestor"))
             .distinct()
             .join(found, ["node", "ancestor"], "left_anti")
         )
         fresh.write.parquet(f"{root}/round={n}")
-    else:
-        raise RecursionError(f"no end after {max_rounds} rounds")
-    return spark.read.parquet(*[f"{root}/round={i}" for i in range(n)])
+        n += 1
 
 
 def deepest_tags(tagged: DataFrame, nodes: DataFrame, pairs: DataFrame, key: str, tag: str = "tag") -> DataFrame:

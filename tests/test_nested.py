@@ -232,6 +232,18 @@ def test_ingredient_misfits(spark, bad):
     assert not df.select(F.expr(f"coalesce({ingredients.too_deep('d')}, false)").alias("x")).head().x
 
 
+@pytest.mark.parametrize("depth", [2, ingredients.DEPTH + 2])
+@pytest.mark.parametrize(
+    "bad", [{"is_in_taxonomy": 99999999999999999999}, {"is_in_taxonomy": "9223372036854775808"}, {"percent": "\u0661"}, {"text": 5}, {"ingredients": 3}]
+)
+def test_refused_alike_at_any_depth(spark, depth, bad):
+    doc = nest(depth, bad)
+    df = spark.createDataFrame([(json.dumps(doc),)], "t string").withColumn("v", F.expr("parse_json(t)"))
+    df = df.select("v", F.expr(ingredients.ingredients_draft("v")).alias("d"))
+    deep = F.expr(f"CASE WHEN {ingredients.too_deep('d')} THEN to_json(v) END")
+    assert df.select(F.coalesce(F.expr(ingredients.settle("d")), ingredients.deep_ingredients(deep)).alias("x")).head().x is None
+
+
 def test_empty_ingredient_lists(spark):
     assert value(spark, ingredients.ingredients_draft("v"), "[]") == "[]"
     text = value(spark, ingredients.ingredients_draft("v"), '[{"ingredients":[]}]')
