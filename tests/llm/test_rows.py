@@ -12,6 +12,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from larder.llm import ann, decontaminate, html_text, mixing, near_dup, pii, suffix_dedup, suffix_runs, token_counts, token_files, toxicity
+from larder.llm.common import tune
+
+
+
+@pytest.fixture(autouse=True)
+def _tuned(spark):
+    tune(spark)
+
 
 SCHEMA = "doc_id long, text string, source string, score string, kept string, component_id string, n_bytes string"
 
