@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larder.session import scratch_path
+
 HASH_BITS = 52  # bits of the hash that make the uniform number
 
 
@@ -76,13 +78,16 @@ def replicate(
     its own.  Columns of ``docs`` named like the two new ones are replaced.  An
     empty table gives an empty table.
 
-    The rates are one small row per source, so Spark broadcasts them by their
-    measured size; were there very many sources, the join would shuffle and
-    adaptive execution would split the hot ones.
+    The rates are one small row per source.  They are stored first, so Spark
+    knows their size before it plans the join and broadcasts them without moving
+    a text; were there very many sources, the join would shuffle and adaptive
+    execution would split the hot ones.
     """
-    rates = source_rates(docs, targets, temper, epochs, source, text).select(
+    path = scratch_path(docs.sparkSession, "rates")
+    source_rates(docs, targets, temper, epochs, source, text).select(
         F.col("source").alias("_source"), F.col("distribution").alias("_distribution")
-    )
+    ).write.parquet(path)
+    rates = docs.sparkSession.read.parquet(path)
     identity = F.coalesce(F.col(key).cast("string"), F.md5(F.coalesce(F.col(text), F.lit(""))))
     drawn = docs.drop("mix_copy", "mix_key").withColumn("_identity", identity)
     drawn = drawn.join(rates, F.col(source).eqNullSafe(F.col("_source")), "left").withColumn("_u", _uniform(F.lit(str(seed)), F.col("_identity")))
