@@ -28,12 +28,14 @@ def lookup_join(
     prefix: str,
     spread_by: Column | None = None,
     must_exist: bool = False,
+    unknown: str | None = None,
 ) -> DataFrame:
     """Left join carrying ``columns`` of ``lookup`` (unique on its key) under ``prefix``.
 
     Spark picks broadcast or shuffle from the sizes it sees, and splits the
     partitions of hot keys at run time.  ``must_exist`` makes the job fail on a
-    key that is set but unknown, inside the same pass.
+    key that is set but unknown, inside the same pass; ``unknown`` names a flag
+    column for such keys instead.
     """
     # A non-constant zero: a literal would be folded out of the join keys.
     zero = F.expr(f"CAST(pmod(hash(`{lookup_key}`), 1) AS INT)")
@@ -51,12 +53,14 @@ def lookup_join(
     joined = left.join(
         side, (F.col(fact_key) == F.col("_key")) & (F.col("_spread") == F.col("_zero")), "left"
     )
+    absent = F.col(fact_key).isNotNull() & F.col("_found").isNull()
+    if unknown:
+        joined = joined.withColumn(unknown, absent)
     if must_exist:
-        unknown = F.col(fact_key).isNotNull() & F.col("_found").isNull()
         message = F.concat(F.lit(f"unknown {fact_key}: "), F.col(fact_key).cast("string"))
         kind = facts.schema[fact_key].dataType
         joined = joined.withColumn(
-            fact_key, F.when(unknown, F.raise_error(message).cast(kind)).otherwise(F.col(fact_key))
+            fact_key, F.when(absent, F.raise_error(message).cast(kind)).otherwise(F.col(fact_key))
         )
     return joined.drop("_key", "_zero", "_found", "_spread")
 

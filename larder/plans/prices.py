@@ -22,7 +22,7 @@ from larder.functions.variants import (
     to_strings,
     to_timestamp,
 )
-from larder.operators.joins import last_wins_rows, lookup_join, owner_hash, unknown_keys
+from larder.operators.joins import last_wins_rows, lookup_join, owner_hash
 from larder.schemas import (
     LOCATION_COLUMNS,
     LOCATION_INPUT_ONLY,
@@ -32,7 +32,7 @@ from larder.schemas import (
     ddl,
     price_schema,
 )
-from larder.sources.files import read_lines, write_parquet
+from larder.sources.files import delete_path, read_lines, staging_path, write_parquet
 
 # Lines that are no JSON object end up in the member _bad.
 _OPTIONS = JSON_OPTIONS[:-1] + ", 'columnNameOfCorruptRecord', '_bad')"
@@ -118,14 +118,22 @@ def join_prices(
     ``proofs`` and ``locations`` carry ``pos`` (input order): of several records
     with one id the last wins.
     """
+    return _flat(_with_lookups(prices, proofs, locations, must_exist))
+
+
+def _with_lookups(prices: DataFrame, proofs: DataFrame, locations: DataFrame, must_exist: bool) -> DataFrame:
+    """Prices with the columns of both lookups; ``_no_proof`` and ``_no_location`` flag unknown keys."""
     proof_names = [f.name for f in ddl(PROOF_COLUMNS)]
     location_names = [f.name for f in ddl(LOCATION_COLUMNS)]
     proofs = last_wins_rows(proofs.select("id", "pos", *proof_names), "id", "pos")
     locations = last_wins_rows(locations.select("id", "pos", *location_names), "id", "pos")
     spread = F.xxhash64("id", "product_code")
-    flat = lookup_join(prices, proofs, "proof_id", "id", proof_names, "proof_", spread, must_exist)
-    flat = lookup_join(flat, locations, "location_id", "id", location_names, "location_", spread, must_exist)
-    return flat.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in price_schema()])
+    wide = lookup_join(prices, proofs, "proof_id", "id", proof_names, "proof_", spread, must_exist, "_no_proof")
+    return lookup_join(wide, locations, "location_id", "id", location_names, "location_", spread, must_exist, "_no_location")
+
+
+def _flat(wide: DataFrame) -> DataFrame:
+    return wide.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in price_schema()])
 
 
 def export_prices(
@@ -139,7 +147,7 @@ def export_prices(
 
     By default one bad record, or a key without a record, stops the export.
     With ``on_error="quarantine"`` such rows are left out and stored, with the
-    reason, at ``quarantine_target``.
+    reasons (one row each, however many there are), at ``quarantine_target``.
     """
     if on_error not in ("fail", "quarantine"):
         raise ValueError(f"unknown on_error: {on_error}")
@@ -153,30 +161,21 @@ def export_prices(
         write_parquet(flat, target, price_schema())
         return
     fine = F.size("_errors") == 0
-    good_proofs, good_locations = proofs.filter(fine), locations.filter(fine)
-    known = F.col("_proof_known") & F.col("_location_known")
-    marked = _mark_known(prices.filter(fine), good_proofs, "proof_id", "_proof_known")
-    marked = _mark_known(marked, good_locations, "location_id", "_location_known")
-    flat = join_prices(marked.filter(known), good_proofs, good_locations, must_exist=False)
-    write_parquet(flat, target, price_schema())
+    # One join of all prices, stored once: both outputs are pruned reads of it.
+    wide = _with_lookups(prices, proofs.filter(fine), locations.filter(fine), must_exist=False)
+    reasons = F.array_compact(
+        F.concat(
+            F.col("_errors"),
+            F.array(*[F.when(F.col(flag), F.lit(f"unknown {key}")) for flag, key in (("_no_proof", "proof_id"), ("_no_location", "location_id"))]),
+        )
+    )
+    staged = staging_path(target)
+    wide.withColumn("_errors", reasons).drop("_no_proof", "_no_location").write.parquet(staged)
+    rows = spark.read.parquet(staged)
+    write_parquet(_flat(rows.filter(fine)), target, price_schema())
     if quarantine_target:
-        refused = [
-            rows.filter(~fine).select(F.lit(what).alias("record"), F.col("_errors").alias("errors"), "line")
-            for what, rows in (("price", prices), ("proof", proofs), ("location", locations))
-        ]
-        for key, side in (("proof_id", good_proofs), ("location_id", good_locations)):
-            refused.append(
-                unknown_keys(prices.filter(fine), side, key, "id").select(
-                    F.lit("price").alias("record"), F.array(F.lit(f"unknown {key}")).alias("errors"), "line"
-                )
-            )
-        out = refused[0]
-        for part in refused[1:]:
-            out = out.unionByName(part)
+        out = rows.filter(~fine).select(F.lit("price").alias("record"), F.col("_errors").alias("errors"), "line")
+        for what, records in (("proof", proofs), ("location", locations)):
+            out = out.unionByName(records.filter(~fine).select(F.lit(what).alias("record"), F.col("_errors").alias("errors"), "line"))
         write_parquet(out, quarantine_target)
-
-
-def _mark_known(facts: DataFrame, lookup: DataFrame, key: str, name: str) -> DataFrame:
-    ids = lookup.select("id").distinct().withColumn("known", F.lit(True))
-    joined = lookup_join(facts, ids, key, "id", ["known"], "_lookup_", F.xxhash64("id", "product_code"))
-    return joined.withColumn(name, F.col(key).isNull() | F.col("_lookup_known").isNotNull()).drop("_lookup_known")
+    delete_path(spark, staged)

@@ -74,13 +74,16 @@ def test_one_bad_record_stops_the_export(spark, tmp_path, change, message):
 def test_quarantine(spark, tmp_path):
     sources = write(
         tmp_path,
-        prices=PRICES + [{"id": 4, "type": "P", "proof_id": 99}, {"id": 5}, {"id": 6, "type": "P", "location_id": 21}],
+        prices=PRICES + [{"id": 4, "type": "P", "proof_id": 99}, {"id": 5}, {"id": 6, "type": "P", "location_id": 21},
+                         {"id": 7, "price": "x", "proof_id": 98, "location_id": 97}],
         locations=LOCATIONS + [{"id": 21}],
     )
     export_prices(spark, sources, str(tmp_path / "out"), "quarantine", str(tmp_path / "bad"))
     assert {r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {1, 2, 3}
     bad = {(r.record, tuple(r.errors)) for r in spark.read.parquet(str(tmp_path / "bad")).collect()}
-    assert bad == {("price", ("unknown proof_id",)), ("price", ("type",)), ("location", ("type",)), ("price", ("unknown location_id",))}
+    assert bad == {("price", ("unknown proof_id",)), ("price", ("type",)), ("location", ("type",)), ("price", ("unknown location_id",)),
+                   ("price", ("price", "type", "unknown proof_id", "unknown location_id"))}
+    assert spark.read.parquet(str(tmp_path / "bad")).count() == len(bad)
 
 
 def test_null_keys_are_spread(spark):
