@@ -304,7 +304,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
     shared = buckets.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1")
     members = store(buckets.join(shared, "key").select("key", "band", "pivot", "node"), "members")
     stars = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # All later steps need only the texts of nodes that share a bucket; they move once.
+    sharing = members.select(F.col("node").alias("doc_id")).distinct()
+    texts = store(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sharing, "doc_id", "left_semi"), "texts")
     likely = store(_likely(stars, nodes, least), "likely")
     links = store(_verified(likely, _texts_of(likely, texts), size, threshold), "links")
     parts = connected_components(links)
