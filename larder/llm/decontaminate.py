@@ -1,9 +1,10 @@
 """Benchmark decontamination: rare word n-grams find the place, local alignment scores the copy.
 
 A passage that was edited or partly reworded still shares some n-grams with its
-item.  They seed candidates; how much a seed counts depends on how rare it is in
-the whole corpus.  Smith-Waterman alignment of words around the seeds then tells
-how much of the item is there, whatever was changed, put in or left out.
+item.  One of them makes a candidate; how rare its n-grams are in the whole corpus
+only says which candidate is tried first.  Smith-Waterman alignment of words around
+the seeds then tells how much of the item is there, whatever was changed, put in or
+left out; it is skipped only where no alignment could reach the score.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ from pyspark.sql import functions as F
 from larder.llm.common import map_columns
 
 SEED_WORDS = 3
-SEED_SHARE = 0.12  # of an item's seed weight that a text must hold to be aligned
 SCORE = 0.5  # alignment score over the item's own, from which a text counts as contaminated
 MATCH, MISMATCH, GAP = 2, -1, -1
 BLOCK_BYTES = 32 << 20  # of benchmark text searched in one pass over the corpus
@@ -60,6 +60,15 @@ def align(item: list[bytes], window: list[bytes]) -> tuple[int, int, int, int]:
     return best
 
 
+def reach(words: list[bytes], others: list[bytes]) -> int:
+    """A bound on the score of any alignment: each word of a stretch matches at most, or costs a change."""
+    there, best, run = set(others), 0, 0
+    for word in words:
+        run = run + MATCH if word in there else max(0, run + max(MISMATCH, GAP))
+        best = max(best, run)
+    return best
+
+
 class Index:
     """Seeds of one block of items."""
 
@@ -75,40 +84,36 @@ class Index:
     def weigh(self, found_in: dict[int, int], n_docs: int) -> None:
         """Weight of a seed: log of corpus size over the number of texts that hold it."""
         self.weight = {s: math.log((n_docs + 2) / (found_in.get(n, 0) + 1)) for s, n in self.names.items()}
-        self.total: dict[int, float] = defaultdict(float)
-        for seed, owners in self.owners.items():
-            for k in owners:
-                self.total[k] += self.weight[seed]
 
-    def matches(self, text: str | None) -> list[tuple]:
-        """(item, score share, matched words, first word, end word) of one text."""
+    def matches(self, text: str | None) -> Iterator[tuple]:
+        """(item, score share, matched words, first word, end word) of one text, the rarest seeds first."""
         words = words_of(text)
         hits = self.seeds.intersection(seeds_of(words))
         if not hits:
-            return []
+            return
         weight: dict[int, float] = defaultdict(float)
         for seed in hits:
             for k in self.owners[seed]:
                 weight[k] += self.weight[seed]
-        wanted = [k for k, w in weight.items() if w >= SEED_SHARE * self.total[k]]
-        if not wanted:
-            return []
         places: dict[int, list[int]] = defaultdict(list)
         for at, seed in enumerate(seeds_of(words)):
             if seed in hits:
                 for k in self.owners[seed]:
                     places[k].append(at)
-        out = []
-        for k in sorted(wanted):
+        for k in sorted(weight, key=lambda k: (-weight[k], k)):
             item, best = self.items[k], (0, 0, 0, 0)
+            whole = MATCH * len(item)
             for first, last in _stretches(places[k], len(item)):
-                low = max(0, first - len(item))
-                s, n, start, end = align(item, words[low : last + SEED_WORDS + len(item)])
+                # An alignment of this score has fewer words put in than the item has words.
+                low = max(0, first - 2 * len(item))
+                window = words[low : last + SEED_WORDS + 2 * len(item)]
+                if min(reach(item, window), reach(window, item)) < SCORE * whole:
+                    continue
+                s, n, start, end = align(item, window)
                 best = max(best, (s, n, -(low + start), low + end))
-            share = best[0] / (MATCH * len(item))
+            share = best[0] / whole
             if share >= SCORE:
-                out.append((k, share, best[1], -best[2], best[3]))
-        return out
+                yield k, share, best[1], -best[2], best[3]
 
 
 def _stretches(places: list[int], reach: int) -> Iterator[tuple[int, int]]:
@@ -166,7 +171,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK
     ``score`` is the best alignment's over that of the item with itself.  The
     benchmark travels to the executors in blocks of at most ``block_bytes``; each
     block takes two narrow passes over the texts, one to count its seeds and one
-    to align.  Nothing but seed counts is shuffled.  Items of fewer than three
+    to align.  Nothing but seed counts is shuffled.  A copy is found if it has three
+    words in a row as the item has them, however many texts hold them.  Items of fewer than three
     words, null items and null texts take no part; of several texts under one
     item id the last counts; repeated rows of ``docs`` are reported as often as
     they occur, null ids with a null id.
@@ -195,7 +201,7 @@ def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int
 
         def run(batches, index=index):
             for batch in batches:
-                yield batch.filter(pa.array([not index.value.matches(t) for t in batch.column(place).to_pylist()], pa.bool_()))
+                yield batch.filter(pa.array([next(index.value.matches(t), None) is None for t in batch.column(place).to_pylist()], pa.bool_()))
 
         left = left.mapInArrow(run, docs.schema)
     return left

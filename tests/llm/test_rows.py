@@ -374,6 +374,32 @@ def test_contaminated(spark):
     assert rows_of(decontaminate.contaminated(df.limit(0), benchmark)) == []
 
 
+def test_contaminated_does_not_depend_on_the_number_of_copies(spark):
+    rng = random.Random(8)
+    item = [f"w{k}" for k in range(38)]
+    for edits in (6, 10):
+        edited = list(item)
+        for k in range(edits):
+            edited[3 + k * (6 if edits == 6 else 3)] = "x"
+        copy = " ".join(edited)
+        texts = [f"{prose(rng, 20)} {copy}" if k % 3 == 0 else prose(rng, 40) for k in range(3000)]
+        df = documents(spark, *texts)
+        benchmark = spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")
+        got = decontaminate.contaminated(df, benchmark).collect()
+        assert sorted(r.doc_id for r in got) == list(range(0, 3000, 3))
+        assert all(abs(r.score - (76 - 3 * edits) / 76) < 1e-9 for r in got)
+        assert decontaminate.keep_uncontaminated(df, benchmark).count() == 2000
+    one = documents(spark, " ".join(item[:20]) + " x" * 5 + " " + item[-1])
+    assert decontaminate.contaminated(one, benchmark).first().score == 40 / 76
+
+
+def test_reach_is_never_less_than_the_alignment():
+    rng = random.Random(12)
+    for _ in range(3000):
+        a, b = ([b"%d" % rng.randint(0, 9) for _ in range(rng.randint(0, 12))] for _ in range(2))
+        assert min(decontaminate.reach(a, b), decontaminate.reach(b, a)) >= decontaminate.align(a, b)[0]
+
+
 def test_alignment_score():
     item = b"a b c d e f".split()
     assert decontaminate.align(item, b"x a b c d e f y".split())[:2] == (12, 6)
