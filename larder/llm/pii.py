@@ -4,7 +4,8 @@ The patterns find what is written in full.  The field labels every token with a
 digit or an at sign (and tokens that repeat a found one): local weights are
 learned from the patterns' own finds over the whole corpus, neighbours share
 chain potentials, and equal or similar tokens of a document, however far apart,
-share skip potentials.  Loopy message passing carries a sure label to the
+share skip potentials: every repeat with all found tokens like it, and with the
+next repeat.  Loopy message passing, until it settles, carries a sure label to the
 shortened or broken repeats that the patterns miss.  Found spans always stay.
 """
 
@@ -25,7 +26,8 @@ LABELS = ("none", *KINDS)
 SURE = 0.6  # probability from which a token's label makes a span
 LOCAL_LIMIT = 4.0  # of a token's own log-odds, so that its repeats can outweigh them
 SAME_TOKEN = 6.0  # skip potential of tokens with the same digits, name or letters
-STEPS, DAMPING = 12, 0.3
+DAMPING, SETTLED = 0.3, 1e-4  # a message that moves less has settled
+COOLING = 0.95  # of the steps' length once every label could have come through, so that swinging messages end too
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -124,16 +126,34 @@ class Tokens:
         )
 
     def pairs(self) -> list[tuple[int, int, bool]]:
-        """(a, b, skip): neighbours, and each token with the next one like it."""
+        """(a, b, skip): neighbours, and each token not found by a pattern with the next such one like it."""
         out = [(k - 1, k, False) for k in range(1, len(self.index)) if self.index[k] == self.index[k - 1] + 1]
         last: dict[tuple, int] = {}
         for k, word in enumerate(self.words):
+            if self.touched[k]:
+                continue
             for key in _keys(word):
                 if key in last and last[key] != k:
                     out.append((last[key], k, True))
                 last[key] = k
         return list(dict.fromkeys(out))
 
+    def found_alike(self) -> np.ndarray:
+        """How many found tokens of each label are like each token: a found label is sure, so
+        the links to all of them are one sum.  Of a token's keys the one with most counts."""
+        found: dict[tuple, np.ndarray] = {}
+        for k, word in enumerate(self.words):
+            if self.touched[k]:
+                for key in _keys(word):
+                    found.setdefault(key, np.zeros(len(LABELS)))[self.observed[k]] += 1
+        out = np.zeros((len(self.words), len(LABELS)))
+        for k, word in enumerate(self.words):
+            if found and not self.touched[k]:
+                for key in _keys(word):
+                    if key in found:
+                        out[k] = np.maximum(out[k], found[key])
+        return out
+
 
 def _letters(word: str) -> str:
     return "".join(c for c in word.lower() if c.isalnum())
@@ -169,10 +189,10 @@ class Field:
     def label(self, tokens: Tokens) -> np.ndarray:
         """Label probabilities of every token, by damped message passing."""
         n, k = len(tokens.places), len(LABELS)
-        local = np.array([self.local(tokens.features(i)) for i in range(n)])
+        local = np.array([self.local(tokens.features(i)) for i in range(n)]) + SAME_TOKEN * tokens.found_alike()
         for i, seen in enumerate(tokens.touched):
             if seen:
-                local[i] = -50.0
+                local[i] = -np.inf
                 local[i, tokens.observed[i]] = 0.0
         pairs = tokens.pairs()
         if not pairs:
@@ -185,16 +205,24 @@ class Field:
         joint = np.concatenate([potential, potential.transpose(0, 2, 1)])  # [message, from, to]
         back = np.concatenate([np.arange(len(a), 2 * len(a)), np.arange(len(a))])
         messages = np.zeros((len(source), k))
-        for _ in range(STEPS):
-            belief = local.copy()
-            np.add.at(belief, target, messages)
-            out = (belief[source] - messages[back])[:, :, None] + joint
+        belief = local.copy()
+        live, length, step = np.ones(n, bool), 1 - DAMPING, 0
+        # Only tokens around a message that moved send again.
+        while live.any():
+            sent = np.flatnonzero(live[source])
+            out = (belief[source[sent]] - messages[back[sent]])[:, :, None] + joint[sent]
             top = out.max(axis=1)
             new = np.log(np.exp(out - top[:, None]).sum(axis=1)) + top
             new -= new.max(axis=1, keepdims=True)
-            messages = DAMPING * messages + (1 - DAMPING) * new
-        belief = local.copy()
-        np.add.at(belief, target, messages)
+            move = length * (new - messages[sent])
+            messages[sent] += move
+            np.add.at(belief, target[sent], move)
+            moved = sent[np.abs(move).max(axis=1) > SETTLED]
+            live[:] = False
+            live[source[moved]] = live[target[moved]] = True
+            step += 1
+            if step > 100 + n:
+                length *= COOLING
         return _normal(belief)
 
 

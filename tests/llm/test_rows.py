@@ -331,6 +331,33 @@ def test_field_carries_labels_to_repeats(spark):
     assert rows_of(pii.scan(df.limit(0), field)) == []
 
 
+@pytest.mark.parametrize("odds", [-1.0, -2.0, -4.0])
+@pytest.mark.parametrize("n", [1, 2, 5, 30, 300])
+def test_field_reaches_every_repeat(n, odds):
+    field = pii.Field({"": np.array([0.0] + [odds] * 4)}, np.zeros((5, 5)))
+    for full, bare, kind in (("john.doe@example.com", "johndoe", "email"), ("+1-555-867-5309", "867-5309", "phone")):
+        text = f"Ask {full} today. " + f"No answer from {bare} again. " * n
+        base, spans = pii.find(text, field)
+        assert len(base) == 1 and len(spans) == n + 1 and {s[2] for s in spans} == {kind}
+        text = f"No answer from {bare} again. " * n + f"Ask {full} today."
+        assert len(pii.find(text, field)[1]) == n + 1
+    assert pii.find("No answer from 867-5309 again. " * n, field) == ([], [])
+
+
+def test_messages_settle():
+    rng = np.random.default_rng(2)
+    chain = rng.uniform(-1, 1, (5, 5))
+    field = pii.Field({"": np.array([0.0, -1.0, -1.0, -1.0, -1.0])}, chain)
+    words = ["867-5309", "+1-555-867-5309", "555-867-5309", "12", "a@b.com", "4111111111111111", "1111111"]
+    for n in (3, 40, 400):
+        text = " ".join(rng.choice(words, n))
+        tokens = pii.Tokens(text, pii.base_spans(text))
+        p = field.label(tokens)
+        assert np.isfinite(p).all() and np.allclose(p.sum(1), 1)
+        for k in range(len(tokens.places)):
+            assert not tokens.touched[k] or p[k, tokens.observed[k]] == 1
+
+
 # --- mixing, benchmarks, neighbours -------------------------------------------
 
 
