@@ -4,11 +4,14 @@ A page becomes a list of text blocks.  What a block looks like (where it sits,
 its links, its length) makes it cost something to call it article or
 boilerplate: the capacities to the two terminals.  Blocks that follow each other
 or sit in one element cost something to call differently: the edges between
-them.  The cheapest labelling of the whole page is a minimum cut.
+them.  An element whose class, id or role sounds like boilerplate is a node of its
+own, paid for once if anything in it is to be article.  The cheapest labelling of
+the whole page is a minimum cut.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import deque
 from html import unescape
@@ -41,16 +44,21 @@ BOILER_NAMES = frozenset(
     "social related recommended recommendations newsletter subscribe subscription signup login search widget widgets toolbar "
     "pagination pager copyright legal disclaimer skip".split()
 )
+HEADER_NAMES = BOILER_NAMES | {"header"}  # outside an article
 ARTICLE_NAMES = frozenset("article content entry post story main body".split())
 
 # What a block costs under the wrong label: evidence for the article is positive.
 PRIOR = -1.0
 IN_ARTICLE = 6.0
 ARTICLE_NAME = 2.0
-BOILER = -20.0  # inside menus, footers, asides, forms, or elements named so
+BOILER = -20.0  # inside menus, footers, asides, forms
+# Of an element named so, once for all its blocks, up to the next article inside it: in a name
+# that starts or ends so ("ad-slot"), and in one that merely holds or denies the word ("has-comments").
+NAMED, PARTLY_NAMED = -10.0, -4.0
+QUALIFIERS = frozenset("has have no not is with without hide show".split())
 HEADER = -8.0  # a page header, unless it belongs to the article
 LINKS = -4.0  # times the share of linked text, outside the article
-WORDS, MOST_WORDS = 0.1, 40
+WORDS, MOST_WORDS = 0.1, 40  # in elements named like boilerplate, all unlinked words count
 SENTENCE = 1.0
 SAME_PARENT, NEIGHBOUR = 0.8, 0.3  # cost of a change of label between blocks
 
@@ -70,33 +78,59 @@ class Element(NamedTuple):
     boiler: bool
     header: bool
     never: bool
+    mark: int  # the nearest element named like boilerplate, counted from 1
 
 
 class Block(NamedTuple):
     text: str
     parent: int
     score: float
+    mark: int
 
 
-def _open(tag: str, attributes: str, above: Element, number: int) -> Element:
+class Mark(NamedTuple):
+    score: float
+    above: int
+
+
+def _open(tag: str, attributes: str, above: Element, number: int, marks: list[Mark]) -> Element:
     names: set[str] = set()
+    named = 0.0
     if attributes:
+        suspect = BOILER_NAMES if above.article else HEADER_NAMES
         for m in _NAMES.finditer(attributes):
-            names.update(p.lower() for p in _PARTS.findall(m.group(1)))
+            for name in m.group(1).split():
+                parts = [p.lower() for p in _PARTS.findall(name)]
+                names.update(parts)
+                if not suspect.isdisjoint(parts):
+                    outside = parts[0] in suspect or (parts[-1] in suspect and parts[0] not in QUALIFIERS)
+                    named = min(named, NAMED if outside else PARTLY_NAMED)
     boiler = above.boiler or tag in BOILER_TAGS or bool(attributes and _HIDDEN.search(attributes))
-    if names and tag not in ("html", "body") and tag not in ARTICLE_TAGS:
-        boiler = boiler or not names.isdisjoint(BOILER_NAMES)
-    header = above.header or ((tag == "header" or "header" in names) and not above.article and tag not in ("html", "body"))
+    mark, header = above.mark, above.header
+    if tag in ARTICLE_TAGS:
+        # An article is one whatever wraps it, except those of which a page has many, like comments.
+        mark, header = mark if named == NAMED else 0, False
+    elif named and tag not in ("html", "body"):
+        marks.append(Mark(named, mark))
+        mark = len(marks)
+    header = header or (tag == "header" and not above.article)
     return Element(
-        tag, number, above.article or tag in ARTICLE_TAGS, above.named or not names.isdisjoint(ARTICLE_NAMES),
-        boiler, header, above.never or tag in NEVER,
+        tag, number, above.article or tag in ARTICLE_TAGS, (above.named and mark == above.mark) or not names.isdisjoint(ARTICLE_NAMES),
+        boiler, header, above.never or tag in NEVER, mark,
     )
 
 
+def _apart(element: Element) -> tuple[bool, int]:
+    """Text on either side of a change of these is never one block."""
+    return element.boiler, element.mark
+
+
 def _score(element: Element, text: str, linked: int) -> float:
     words = text.count(" ") + 1
-    s = PRIOR + WORDS * min(words, MOST_WORDS) + (SENTENCE if text[-1:] in ".!?…。" else 0.0)
-    s += IN_ARTICLE if element.article else LINKS * min(1.0, linked / len(text))
+    share = min(1.0, linked / len(text))
+    s = PRIOR + WORDS * max(min(words, MOST_WORDS), words * (1 - share) if element.mark else 0) + (SENTENCE if text[-1:] in ".!?…。" else 0.0)
+    # A name inside an article takes its word for what it holds.
+    s += IN_ARTICLE if element.article and not element.mark else LINKS * share
     s += ARTICLE_NAME if element.named else 0.0
     s += BOILER if element.boiler else 0.0
     s += HEADER if element.header else 0.0
@@ -104,10 +138,11 @@ def _score(element: Element, text: str, linked: int) -> float:
     return s
 
 
-def blocks_of(html: str) -> list[Block]:
-    """The page's visible text blocks in order, references decoded, white space joined."""
+def blocks_of(html: str) -> tuple[list[Block], list[Mark]]:
+    """The page's visible text blocks in order, references decoded, white space joined; elements named like boilerplate."""
     out: list[Block] = []
-    root = Element("", 0, False, False, False, False, False)
+    marks: list[Mark] = []
+    root = Element("", 0, False, False, False, False, False, 0)
     stack, held, number, linked, in_link, at = [root], [], 0, 0, 0, 0
 
     def flush() -> None:
@@ -116,7 +151,8 @@ def blocks_of(html: str) -> list[Block]:
             text = " ".join(unescape("".join(held)).split())
             top = next((e for e in reversed(stack) if e.tag in BLOCKS or not e.tag), root)
             if text and not top.never:
-                out.append(Block(text, top.number, _score(stack[-1] if stack[-1].boiler else top, text, linked)))
+                near = top if _apart(stack[-1]) == (False, 0) else stack[-1]
+                out.append(Block(text, top.number, _score(near, text, linked), near.mark))
             held, linked = [], 0
 
     size = len(html)
@@ -138,7 +174,7 @@ def blocks_of(html: str) -> list[Block]:
             if tag == "a":
                 in_link = 0
             place = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag), 0)
-            if tag in BLOCKS or (place and stack[place].boiler and not stack[place - 1].boiler):
+            if tag in BLOCKS or (place and _apart(stack[place]) != _apart(stack[place - 1])):
                 flush()
             if place:
                 # A closed inline element does not close the blocks opened inside it.
@@ -168,16 +204,19 @@ def blocks_of(html: str) -> list[Block]:
         if tag == "a":
             in_link = 1
         number += 1
-        element = _open(tag, m.group(3) or m.group(6) or "", stack[-1], number)
-        if element.boiler and not stack[-1].boiler:
+        element = _open(tag, m.group(3) or m.group(6) or "", stack[-1], number, marks)
+        if _apart(element) != _apart(stack[-1]):
             flush()
         stack.append(element)
     flush()
-    return out
+    return out, marks
+
 
+def minimum_cut(scores: list[float], edges: list[tuple[int, int, float]], needs: list[tuple[int, int]] = ()) -> list[bool]:
+    """Which nodes stay with the source: blocking flows over shortest paths until none is left.
 
-def minimum_cut(scores: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
-    """Which nodes stay with the source: blocking flows over shortest paths until none is left."""
+    Of each pair in ``needs`` the first stays only with the second.
+    """
     n = len(scores)
     source, sink = n, n + 1
     ends: list[int] = []
@@ -197,6 +236,8 @@ def minimum_cut(scores: list[float], edges: list[tuple[int, int, float]]) -> lis
             link(k, sink, -s, 0.0)
     for a, b, w in edges:
         link(a, b, w, w)
+    for a, b in needs:
+        link(a, b, math.inf, 0.0)
     while True:
         depth = [-1] * (n + 2)
         depth[source] = 0
@@ -243,7 +284,7 @@ def minimum_cut(scores: list[float], edges: list[tuple[int, int, float]]) -> lis
 
 def main_text(html: str | None) -> str:
     """The article's blocks, one per line; empty if there is none."""
-    blocks = blocks_of(html) if html else []
+    blocks, marks = blocks_of(html) if html else ([], [])
     if not blocks:
         return ""
     edges, last = [], {}
@@ -253,7 +294,10 @@ def main_text(html: str | None) -> str:
         if block.parent in last:
             edges.append((last[block.parent], k, SAME_PARENT))
         last[block.parent] = k
-    kept = minimum_cut([b.score for b in blocks], edges)
+    n = len(blocks) - 1  # marks are counted from 1
+    needs = [(k, n + b.mark) for k, b in enumerate(blocks) if b.mark]
+    needs += [(n + k, n + m.above) for k, m in enumerate(marks, 1) if m.above]
+    kept = minimum_cut([b.score for b in blocks] + [m.score for m in marks], edges, needs)
     return "\n".join(b.text for b, keep in zip(blocks, kept) if keep)
 
 

@@ -179,6 +179,28 @@ def test_main_text(spark):
     assert rows_of(html_text.extract(df.limit(0))) == []
 
 
+LONG = "This sentence goes on about the sea and the many ships that cross it every day in fair and foul weather alike. " * 3
+
+
+@pytest.mark.parametrize("name", ["content-sidebar-wrap", "site footer-widgets", "post has-comments", "sidebar", "header-fixed"])
+def test_names_of_wrappers_do_not_hide_the_article(name):
+    article = "<h1>On ships</h1><p>Short one.</p><p>A second one follows.</p>"
+    for tag in ("article", "main"):
+        page = f'<div class="{name}"><div><{tag}>{article}<div class="ad">Buy it now.</div></{tag}></div><div class="widget"><p>Most read.</p></div></div>'
+        assert html_text.main_text(page) == "On ships\nShort one.\nA second one follows."
+    prose = f'<div id="{name}"><p>{LONG}</p><p>{LONG}</p><ul><li><a href="/">Home</a></li></ul><div class="share"><p>Share it.</p></div></div>'
+    assert html_text.main_text(prose) == f"{LONG.strip()}\n{LONG.strip()}"
+    assert html_text.main_text(f'<div class="{name}"><p>Call us.</p></div>') == ""
+    inside = f'<article><div class="{name}"><p>{LONG}</p><p>{LONG}</p></div></article>'
+    assert html_text.main_text(inside) == f"{LONG.strip()}\n{LONG.strip()}"
+
+
+def test_comments_stay_out():
+    comment = "I read this with much joy and I should like to hear more of it some day soon, if you can find the time."
+    comments = f'<div id="comments"><ol class="commentlist">{f"""<li class="comment"><article class="comment-body"><p>{comment}</p></article></li>""" * 9}</ol></div>'
+    assert html_text.main_text(f"<main><p>{LONG}</p>{comments}</main>") == LONG.strip()
+
+
 def test_minimum_cut_is_the_cheapest_labelling():
     rng = random.Random(4)
     for _ in range(60):
