@@ -27,8 +27,10 @@ BLOCKS = frozenset(
     "summary table tbody td tfoot th thead title tr ul button noscript".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style template textarea iframe svg math object canvas audio video noframes noembed xmp".split())
-NEVER = frozenset("head title select option optgroup button datalist".split())
+RAW = frozenset("script style textarea iframe noframes noembed xmp".split())  # HTML reads them to their end tag, or to the end of the page
+FOREIGN = frozenset(("svg", "math"))  # "/>" ends an element in these
+REPLACED = frozenset("object canvas audio video".split())
+NEVER = frozenset("head title select option optgroup button datalist template".split())
 BOILER_TAGS = frozenset("nav footer aside form menu dialog search noscript fieldset".split())
 ARTICLE_TAGS = frozenset(("article", "main"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -58,6 +60,7 @@ NAMED, PARTLY_NAMED = -10.0, -4.0
 QUALIFIERS = frozenset("has have no not is with without hide show".split())
 HEADER = -8.0  # a page header, unless it belongs to the article
 LINKS = -4.0  # times the share of linked text, outside the article
+FALLBACK = -2.0  # what replaced elements hold for browsers that cannot show them
 WORDS, MOST_WORDS = 0.1, 40  # in elements named like boilerplate, all unlinked words count
 SENTENCE = 1.0
 SAME_PARENT, NEIGHBOUR = 0.8, 0.3  # cost of a change of label between blocks
@@ -79,6 +82,8 @@ class Element(NamedTuple):
     header: bool
     never: bool
     mark: int  # the nearest element named like boilerplate, counted from 1
+    fallback: bool
+    foreign: bool
 
 
 class Block(NamedTuple):
@@ -116,13 +121,13 @@ def _open(tag: str, attributes: str, above: Element, number: int, marks: list[Ma
     header = header or (tag == "header" and not above.article)
     return Element(
         tag, number, above.article or tag in ARTICLE_TAGS, (above.named and mark == above.mark) or not names.isdisjoint(ARTICLE_NAMES),
-        boiler, header, above.never or tag in NEVER, mark,
+        boiler, header, above.never or tag in NEVER, mark, above.fallback or tag in REPLACED, above.foreign or tag in FOREIGN,
     )
 
 
-def _apart(element: Element) -> tuple[bool, int]:
+def _apart(element: Element) -> tuple[bool, int, bool]:
     """Text on either side of a change of these is never one block."""
-    return element.boiler, element.mark
+    return element.boiler, element.mark, element.fallback
 
 
 def _score(element: Element, text: str, linked: int) -> float:
@@ -134,6 +139,7 @@ def _score(element: Element, text: str, linked: int) -> float:
     s += ARTICLE_NAME if element.named else 0.0
     s += BOILER if element.boiler else 0.0
     s += HEADER if element.header else 0.0
+    s += FALLBACK if element.fallback else 0.0
     s += 1.0 if element.tag in HEADINGS else 0.0
     return s
 
@@ -142,16 +148,20 @@ def blocks_of(html: str) -> tuple[list[Block], list[Mark]]:
     """The page's visible text blocks in order, references decoded, white space joined; elements named like boilerplate."""
     out: list[Block] = []
     marks: list[Mark] = []
-    root = Element("", 0, False, False, False, False, False, 0)
+    root = Element("", 0, False, False, False, False, False, 0, False, False)
     stack, held, number, linked, in_link, at = [root], [], 0, 0, 0, 0
 
+    def hold(text: str) -> None:
+        if not stack[-1].never:
+            held.append(text)
+
     def flush() -> None:
         nonlocal held, linked
         if held:
             text = " ".join(unescape("".join(held)).split())
             top = next((e for e in reversed(stack) if e.tag in BLOCKS or not e.tag), root)
-            if text and not top.never:
-                near = top if _apart(stack[-1]) == (False, 0) else stack[-1]
+            if text:
+                near = top if _apart(stack[-1]) == (False, 0, False) else stack[-1]
                 out.append(Block(text, top.number, _score(near, text, linked), near.mark))
             held, linked = [], 0
 
@@ -159,11 +169,11 @@ def blocks_of(html: str) -> tuple[list[Block], list[Mark]]:
     while at < size:
         m = _TOKEN.search(html, at)
         if m is None:
-            held.append(html[at:])
+            hold(html[at:])
             break
         if m.start() > at:
-            held.append(html[at : m.start()])
-            if in_link:
+            hold(html[at : m.start()])
+            if in_link and not stack[-1].never:
                 linked += m.start() - at
         at = m.end()
         tag = (m.group(2) or m.group(5) or "").lower()
@@ -181,14 +191,15 @@ def blocks_of(html: str) -> tuple[list[Block], list[Mark]]:
                 if tag in BLOCKS or not any(e.tag in BLOCKS for e in stack[place + 1 :]):
                     del stack[place:]
             continue
+        attributes = m.group(3) or m.group(6) or ""
         if tag in RAW:
-            if not (m.group(3) or m.group(6) or "").endswith("/") or tag in ("script", "style", "textarea"):
+            if not attributes.endswith("/") or tag in ("script", "style", "textarea"):
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, at)
                 at = end.end() if end else size
-            held.append(" " if tag not in ("script", "style", "template") else "")
+            hold(" " if tag not in ("script", "style") else "")
             continue
         if tag == "br":
-            held.append(" ")
+            hold(" ")
             continue
         if tag in BLOCKS:
             flush()
@@ -199,12 +210,12 @@ def blocks_of(html: str) -> tuple[list[Block], list[Mark]]:
                     break
                 if stack[k].tag in BLOCKS and stack[k].tag not in ("p", "li", "td", "th", "dd", "dt"):
                     break
-        if tag in VOID:
+        if tag in VOID or (attributes.endswith("/") and (stack[-1].foreign or tag in FOREIGN)):
             continue
         if tag == "a":
             in_link = 1
         number += 1
-        element = _open(tag, m.group(3) or m.group(6) or "", stack[-1], number, marks)
+        element = _open(tag, attributes, stack[-1], number, marks)
         if _apart(element) != _apart(stack[-1]):
             flush()
         stack.append(element)

@@ -201,6 +201,20 @@ def test_comments_stay_out():
     assert html_text.main_text(f"<main><p>{LONG}</p>{comments}</main>") == LONG.strip()
 
 
+def test_embedded_elements_keep_their_text():
+    page = (
+        "<article><p>The area is <math><mi>x</mi><mo>=</mo><mn>2</mn></math> and no more.</p><object><p>The chart shows a rise of two.</p></object>"
+        "<canvas>A ship on the sea.</canvas><audio>Waves are heard.</audio><video src=v>Ships come in.</video><svg><path d=''/><title>icon</title><text>North</text></svg>"
+        "<template><p>Never</p></template><select><option>One</select><p>The end.</p></article>"
+    )
+    lines = ["The area is x=2 and no more.", "The chart shows a rise of two.", "A ship on the sea.", "Waves are heard.", "Ships come in.", "North", "The end."]
+    assert html_text.main_text(page) == "\n".join(lines)
+    for tag in ("svg", "math", "object", "canvas", "audio", "video"):
+        assert html_text.main_text(f"<article><div><{tag}></div><p>{LONG}</p></article>") == LONG.strip()
+    assert html_text.main_text("<div><video>Your browser cannot show this.</video></div>") == ""
+    assert html_text.main_text(f"<article><p>{LONG}</p><script>if (a) {{</article>") == LONG.strip()
+
+
 def test_minimum_cut_is_the_cheapest_labelling():
     rng = random.Random(4)
     for _ in range(60):
