@@ -200,8 +200,8 @@ def nearest(
     # for because a query does not find itself.  Spark limits each group before the exchange.
     ranked = Window.partitionBy("vec").orderBy("vec_id")
     members = (
-        rows.withColumn("place", F.row_number().over(ranked)).where(F.col("place") <= k + 1)
-        .groupBy("vec").agg(F.first("norm").alias("norm"), F.array_distinct(F.sort_array(F.collect_list("vec_id"))).alias("ids"))
+        rows.withColumn("place", F.dense_rank().over(ranked)).where(F.col("place") <= k + 1)
+        .groupBy("vec").agg(F.first("norm").alias("norm"), F.sort_array(F.collect_set("vec_id")).alias("ids"))
     )
     nodes = store(members.withColumn("dim", F.octet_length("vec")), "nodes")
     size = nodes.groupBy("dim").agg(F.count("*").alias("n"), F.max("norm").alias("top")).collect()  # one row per vector length

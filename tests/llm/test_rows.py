@@ -494,3 +494,13 @@ def test_nearest(spark):
     few = df.where("vec_id in (1, 2, 20)")
     assert sorted(r.rank for r in ann.nearest(few, few.where("vec_id = 20")).collect()) == [1, 2]
     assert rows_of(ann.nearest(df.limit(0), df)) == []
+
+
+def test_nearest_counts_ids_not_rows(spark):
+    same, other = [1.0, 2.0], [-1.0, 0.5]
+    rows = [(0, same)] * 30 + [(k, same) for k in range(1, 6)] + [(9, other)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.nearest(df, df.where("vec_id = 9"), k=4).collect()
+    assert sorted((r.rank, r.vec_id) for r in got) == [(1, 0), (2, 1), (3, 2), (4, 3)]
+    got = ann.nearest(df, df.where("vec_id = 0"), k=5).collect()
+    assert sorted((r.rank, r.vec_id) for r in got) == [(k, k) for k in range(1, 6)]
