@@ -133,7 +133,7 @@ def likeliest_similarity(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.
     return (low + high) / 2
 
 
-def _sketched(docs: DataFrame, size: int) -> DataFrame:
+def _sketched(docs: DataFrame, size: int, hashed: bool) -> DataFrame:
     def run(batch) -> dict:
         out: dict = {k: [] for k in ("doc_id", "n_shingles", "s1", "s2", "registers")}
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -145,10 +145,10 @@ def _sketched(docs: DataFrame, size: int) -> DataFrame:
                 out["s1"].append(int(_mix(hashes).sum(dtype=np.uint64).astype(np.int64)))
                 out["s2"].append(int(_mix(hashes + np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)))
             out["registers"].append(sketch(hashes).tobytes() if len(hashes) else None)
-        return out
+        return {**out, "text_hash": batch.column(2)} if hashed else out
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return map_columns(texts, run, "doc_id long, n_shingles long, s1 long, s2 long, registers binary")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *([F.xxhash64("text").alias("text_hash")] if hashed else []))
+    return map_columns(texts, run, "doc_id long, n_shingles long, s1 long, s2 long, registers binary" + ", text_hash long" * hashed)
 
 
 def _band_rows(least: float) -> int:
@@ -285,6 +285,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
     classes count as linked.  Documents without words are linked with nothing;
     rows without an id have no component and are kept.
     """
+    return _placed(docs, size, threshold)
+
+
+def _placed(docs: DataFrame, size: int, threshold: tuple[int, int], hashed: bool = False) -> DataFrame:
+    """The rows of ``near_duplicates``; if asked, with ``text_hash``."""
     spark = docs.sparkSession
     least = threshold[0] / threshold[1]
 
@@ -293,7 +298,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
         df.write.parquet(path)
         return spark.read.parquet(path)
 
-    rows = store(_sketched(docs, size), "sketches")
+    rows = store(_sketched(docs, size, hashed), "sketches")
     filled = rows.where("n_shingles > 0 and doc_id is not null")
     classes = store(filled.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("node")), "classes")
     # A node's registers come from one row of its id; a repeated id may give several.
@@ -324,7 +329,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
         "s1", "s2", "n_shingles", F.coalesce("component", "node").alias("component")
     )
     joined = rows.join(placed, ["s1", "s2", "n_shingles"], "left").select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
+        *(["text_hash"] if hashed else []),
     )
     return joined.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
@@ -332,10 +338,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
 def keep_one(docs: DataFrame, size: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
     """The rows of ``docs``, all columns, without all but the first document of every group.
 
-    A repeated row (same id, same text) stays once; rows without an id all stay.
+    A repeated row (same id, same text) stays once; rows without an id all stay.  Of
+    several texts under one id each stays or goes by itself.
     """
-    gone = near_duplicates(docs, size, threshold).where("not kept").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = _placed(docs, size, threshold, hashed=True).where("not kept").select("doc_id", F.col("text_hash").alias("_hash")).distinct()
+    left = docs.withColumn("_hash", F.xxhash64("text")).join(gone, ["doc_id", "_hash"], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
     mark = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).otherwise(F.xxhash64("text"))
     return left.withColumn("_row", mark).dropDuplicates(["doc_id", "_row"]).drop("_row")
 

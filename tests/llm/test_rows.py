@@ -144,6 +144,12 @@ def test_near_duplicates_rows(spark):
     assert rows_of(near_dup.near_duplicates(df.limit(0))) == []
 
 
+def test_keep_one_removes_texts_not_ids(spark):
+    copied, own = "a b c d e f g", "q r s t u v w x"
+    df = documents(spark, copied, copied, own, own, ids=[1, 5, 5, 5])
+    assert sorted((r.doc_id, r.text) for r in near_dup.keep_one(df).collect()) == [(1, copied), (5, own)]
+
+
 def test_likelihood_estimates_similarity():
     rng = np.random.default_rng(3)
     pool = rng.integers(0, 2**63, 30_000, np.uint64)
