@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from catalog import Catalog
-from larder.llm import ann, decontaminate, html_text, mixing, near_dup, pii, suffix_dedup, token_counts, token_files, toxicity
+from larder.llm import ann, decontaminate, filter_audit, html_text, mixing, near_dup, pii, suffix_dedup, token_counts, token_files, toxicity
 from larder.llm.common import read_table
 
 catalog = Catalog()
@@ -71,3 +71,8 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return pii.scan(docs, pii.train(docs))
+
+
+@catalog.query(filter_audit.AUDIT_SQL)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
