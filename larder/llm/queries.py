@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from catalog import Catalog
-from larder.llm import ann, decontaminate, filter_audit, html_text, mixing, near_dup, pii, suffix_dedup, token_counts, token_files, toxicity
+from larder.llm import ann, decontaminate, filter_audit, html_text, importance, mixing, near_dup, pii, suffix_dedup, token_counts, token_files, toxicity
 from larder.llm.common import read_table
 
 catalog = Catalog()
@@ -76,3 +76,8 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @catalog.query(filter_audit.AUDIT_SQL)
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_filters(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@catalog.query(importance.RESAMPLE_SQL)
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
