@@ -14,6 +14,8 @@ import hashlib
 import math
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -79,37 +81,6 @@ class Shifts:
         return out
 
 
-class _Words(dict):
-    """Numbers words: the head's are fixed, others get the next number and are forgotten by ``reset``."""
-
-    def __init__(self, head: list[bytes]):
-        super().__init__((w, i) for i, w in enumerate(head))
-        self.head, self.n_head = head, len(head)
-        self.tail: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = self.n_head + len(self.tail)
-        self.tail.append(word)
-        return number
-
-    def spelled(self, number: int) -> bytes:
-        return self.head[number] if number < self.n_head else self.tail[number - self.n_head]
-
-    def reset(self) -> None:
-        for word in self.tail:
-            del self[word]
-        self.tail = []
-
-
-def _states(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """CRC of each word, CRC of a space and the word, and that one's length."""
-    return (
-        np.array([zlib.crc32(w) for w in words], np.uint32),
-        np.array([zlib.crc32(b" " + w) for w in words], np.uint32),
-        np.array([len(w) + 1 for w in words], np.int64),
-    )
-
-
 def pieces(raw: bytes) -> Iterator[list[bytes]]:
     """The words of a text, at most about a megabyte of them at a time."""
     start = 0
@@ -120,16 +91,38 @@ def pieces(raw: bytes) -> Iterator[list[bytes]]:
         start = end
 
 
+@dataclass
+class Chunk:
+    """Words end to end: head number (or -1), CRC, length, row of the text, and whether it is new.
+
+    A text that goes on in another piece hands it its last two words, which are not
+    new there.  Rows of neighbouring pieces of one text differ by sign, so that no
+    feature spans them.
+    """
+
+    ids: np.ndarray
+    state: np.ndarray
+    length: np.ndarray
+    rows: np.ndarray
+    new: np.ndarray
+
+    def __post_init__(self):
+        self.owner = np.where(self.rows < 0, -self.rows - 1, self.rows)
+        self.pairs = (self.rows[1:] == self.rows[:-1]) & self.new[1:]
+        self.triples = self.pairs[1:] & (self.rows[1:-1] == self.rows[:-2])
+
+
 class Features:
     """Buckets of all features of texts, by the head's states and pairs or by the bytes."""
 
     def __init__(self, head: list[bytes]):
+        self.shifts = Shifts()
         words = [f for f in head if b" " not in f]
-        self.words, self.shifts = _Words(words), Shifts()
-        self.head_states = _states(words)
+        self.n_head, self.number = len(words), {w: i for i, w in enumerate(words)}
+        self.head_state = np.array([zlib.crc32(w) for w in words], np.uint32)
         # Frequent pairs lie in a table with one place per hash; of two with one place the first stays.
         pairs = [f for f in head if b" " in f]
-        ids = [tuple(map(self.words.get, f.split())) for f in pairs]
+        ids = [tuple(map(self.number.get, f.split())) for f in pairs]
         known = [(f, a * len(words) + b) for f, (a, b) in zip(pairs, ids) if a is not None and b is not None]
         self.bits = max(4, (4 * len(known)).bit_length())
         self.pair_key = np.full(1 << self.bits, -1, np.int64)
@@ -137,71 +130,68 @@ class Features:
         for pair, key in reversed(known):
             place = int(self._place(np.array([key]))[0])
             self.pair_key[place], self.pair_state[place] = key, zlib.crc32(pair)
-        self.pair_bucket = (self.pair_state % np.uint32(BUCKETS)).astype(np.int32)
+        self.pair_bucket = self.pair_state % np.uint32(BUCKETS)
 
     def _place(self, key: np.ndarray) -> np.ndarray:
         return (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)
 
-    def chunks(self, texts: list[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Word numbers, the row of each and whether it is new, in chunks of bounded size.
-
-        A text that goes on in the next piece hands it its last two words, not new there.
-        """
-        ids, rows, new, n = [], [], [], 0
+    def _looked_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Head number, CRC and length; words outside the head take their CRC from the bytes."""
+        ids = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
+        tail = ids < 0
+        state = np.empty(len(words), np.uint32)
+        state[~tail] = self.head_state[ids[~tail]]
+        state[tail] = np.fromiter(map(zlib.crc32, compress(words, tail)), np.uint32)
+        return ids, state, np.fromiter(map(len, words), np.int64, len(words))
+
+    def chunks(self, texts: list[bytes | None]) -> Iterator[tuple[Chunk, list[bytes]]]:
+        """The words of texts in chunks of bounded size, with their spellings."""
+        parts, spelled, n = [], [], 0
         for row, text in enumerate(texts):
-            carried = np.zeros(0, np.int64)
+            carried, side = None, row
             for words in pieces((text or b"").translate(_FOLD)):
                 if not words:
                     continue
-                own = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
-                part = np.concatenate([carried, own])
-                ids.append(part)
-                rows.append(np.full(len(part), row))
-                new.append(np.arange(len(part)) >= len(carried))
-                # A piece is a run of its own: its rows differ from those before it by sign.
-                if len(rows) > 1 and rows[-2][-1] == row:
-                    rows[-1] = -rows[-1] - 1
-                n += len(part)
+                columns, new = self._looked_up(words), np.ones(len(words), bool)
+                if carried is not None:
+                    columns = [np.concatenate(c) for c in zip(carried[:3], columns)]
+                    new = np.concatenate([np.zeros(len(carried[0]), bool), new])
+                    words = carried[3] + words
+                parts.append((*columns, np.full(len(words), side), new))
+                spelled += words
+                n += len(words)
+                carried, side = (*(c[-2:] for c in columns), words[-2:]), -side - 1
                 if n >= CHUNK_WORDS:
-                    last = [self.words.spelled(i) for i in part[-2:]]
-                    yield np.concatenate(ids), np.concatenate(rows), np.concatenate(new)
-                    ids, rows, new, n = [], [], [], 0
-                    self.words.reset()
-                    carried = np.array([self.words[w] for w in last], np.int64)
-                else:
-                    carried = part[-2:]
+                    yield Chunk(*map(np.concatenate, zip(*parts))), spelled
+                    parts, spelled, n = [], [], 0
         if n:
-            yield np.concatenate(ids), np.concatenate(rows), np.concatenate(new)
-        self.words.reset()
+            yield Chunk(*map(np.concatenate, zip(*parts))), spelled
 
-    def buckets(self, texts: list[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Bucket of every feature and the row of the text it is in."""
-        for ids, rows, new in self.chunks(texts):
-            state, spaced, step = (np.concatenate([h, t]) for h, t in zip(self.head_states, _states(self.words.tail)))
-            state, spaced, step = state[ids], spaced[ids], step[ids]
-            owner = np.where(rows < 0, -rows - 1, rows)
-            found, owners = [state[new] % np.uint32(BUCKETS)], [owner[new]]
-            if len(ids) > 1:
-                whole = (rows[1:] == rows[:-1]) & new[1:]
-                joined, bucket = self._pairs(ids, state, spaced, step)
-                found.append(bucket[whole])
-                owners.append(owner[1:][whole])
-                whole = whole[1:] & (rows[1:-1] == rows[:-2])
-                triples = self.shifts.over(joined[:-1][whole], step[2:][whole]) ^ spaced[2:][whole]
-                found.append(triples % np.uint32(BUCKETS))
-                owners.append(owner[2:][whole])
-            yield np.concatenate(found).astype(np.int64), np.concatenate(owners)
+    def spaced(self, state: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """CRC of a space and the word, from the word's."""
+        return self.shifts.over(np.full(len(state), zlib.crc32(b" "), np.uint32), length) ^ state
 
-    def _pairs(self, ids, state, spaced, step) -> tuple[np.ndarray, np.ndarray]:
-        """State and bucket of each word and the next."""
-        n_head = self.words.n_head
-        key = np.where((ids[:-1] < n_head) & (ids[1:] < n_head), ids[:-1] * n_head + ids[1:], -2)
+    def joined(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """CRC and bucket of each word and the next; CRC of every word behind a space, and that one's length."""
+        spaced, step = self.spaced(chunk.state, chunk.length), chunk.length + 1
+        first, second = chunk.ids[:-1], chunk.ids[1:]
+        key = np.where((first < 0) | (second < 0), -2, first * self.n_head + second)
         place = self._place(key)
-        joined, bucket = self.pair_state[place], self.pair_bucket[place]
+        state, bucket = self.pair_state[place], self.pair_bucket[place]
         tail = np.flatnonzero(self.pair_key[place] != key)
-        joined[tail] = self.shifts.over(state[tail], step[tail + 1]) ^ spaced[tail + 1]
-        bucket[tail] = joined[tail] % np.uint32(BUCKETS)
-        return joined, bucket
+        state[tail] = self.shifts.over(chunk.state[tail], step[tail + 1]) ^ spaced[tail + 1]
+        bucket[tail] = state[tail] % np.uint32(BUCKETS)
+        return state, bucket, spaced, step
+
+    def buckets(self, texts: list[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Bucket of every feature and the row of the text it is in."""
+        for chunk, _ in self.chunks(texts):
+            pair, bucket, spaced, step = self.joined(chunk)
+            triples = chunk.triples
+            triple = self.shifts.over(pair[:-1][triples], step[2:][triples]) ^ spaced[2:][triples]
+            found = [chunk.state[chunk.new] % np.uint32(BUCKETS), bucket[chunk.pairs], triple % np.uint32(BUCKETS)]
+            owners = [chunk.owner[chunk.new], chunk.owner[1:][chunk.pairs], chunk.owner[2:][triples]]
+            yield np.concatenate(found).astype(np.int64), np.concatenate(owners)
 
 
 # --- over the corpus ----------------------------------------------------------
@@ -212,21 +202,24 @@ def _raw(batch: pa.RecordBatch) -> list[bytes | None]:
 
 
 def _frequent(batch: pa.RecordBatch) -> dict:
-    """Words and pairs that are frequent in the batch, with their counts; all words under an empty name."""
+    """Words and pairs that are frequent in a chunk, with their counts; all words under an empty name.
+
+    They are counted by CRC and spelled as where they first occur.  Two with one CRC
+    count as one of them, which can only put a rarer feature into the head.
+    """
     features, found = Features([]), {b"": 0}
-    for ids, rows, new in features.chunks(_raw(batch)):
-        words, least = features.words.tail, max(2, int(new.sum()) // HEAD_SHARE)
-        found[b""] += int(new.sum())
-        counts = np.bincount(ids[new], minlength=len(words))
-        for i in np.flatnonzero(counts >= least):
-            found[words[i]] = found.get(words[i], 0) + int(counts[i])
-        whole = (rows[1:] == rows[:-1]) & new[1:]
-        keys, counts = np.unique(ids[:-1][whole] * len(words) + ids[1:][whole], return_counts=True)
-        for key, n in zip(keys[counts >= least].tolist(), counts[counts >= least].tolist()):
-            pair = words[key // len(words)] + b" " + words[key % len(words)]
-            found[pair] = found.get(pair, 0) + n
-    kept = {f: n for f, n in found.items() if len(f) <= HEAD_BYTES}
-    return {"feature": list(kept), "n": list(kept.values())}
+    for chunk, words in features.chunks(_raw(batch)):
+        n_words = int(chunk.new.sum())
+        found[b""] += n_words
+        pair, _, _, _ = features.joined(chunk)
+        for states, at, size in ((chunk.state, np.flatnonzero(chunk.new), 1), (pair, np.flatnonzero(chunk.pairs), 2)):
+            _, first, counts = np.unique(states[at], return_index=True, return_counts=True)
+            often = counts >= max(2, n_words // HEAD_SHARE)
+            for place, n in zip(at[first[often]].tolist(), counts[often].tolist()):
+                name = b" ".join(words[place : place + size])
+                if len(name) <= HEAD_BYTES:
+                    found[name] = found.get(name, 0) + n
+    return {"feature": list(found), "n": list(found.values())}
 
 
 def head_features(docs: DataFrame) -> list[bytes]:
