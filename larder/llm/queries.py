@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from catalog import Catalog
-from larder.llm import ann, decontaminate, filter_audit, html_text, importance, mixing, near_dup, pii, suffix_dedup, token_counts, token_files, toxicity
+from larder.llm import ann, block_dedup, decontaminate, filter_audit, html_text, importance, mixing, near_dup, pii, suffix_dedup, token_counts, token_files, toxicity
 from larder.llm.common import read_table
 
 catalog = Catalog()
@@ -81,3 +81,8 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @catalog.query(importance.RESAMPLE_SQL)
 def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@catalog.query(block_dedup.REPEATED_SQL)
+def op11_block_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_dedup.repeated_words(read_table(spark, sf_dir, "documents")).drop("kept")
