@@ -29,11 +29,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import Memo
 from larder.session import scratch_path
 
 CHUNK_BYTES = 8 << 20  # text of a chunk, unless one document is longer
 BUCKET_BYTES = 16 << 20  # text whose hashes meet in one bucket
+SLICE_BYTES = 256 << 10  # text hashed at once
 PART_BYTES = 64 << 20  # text that one task reads back
 LAST = np.iinfo(np.int64).max  # stands for a null id
 DEALT = "bucket int, chunk long, data binary"
@@ -68,9 +68,65 @@ def steps(ordered: np.ndarray) -> np.ndarray:
 # --- hashes of words, blocks and windows --------------------------------------
 
 
-class WordHashes(Memo):
-    def make(self, word: bytes) -> int:
-        return xxhash.xxh3_64_intdigest(word)
+_WHITE = np.zeros(256, bool)
+_WHITE[[0x20, *range(0x09, 0x0E)]] = True
+_BASES = (0x9E3779B97F4A7C1B, 0xC2B2AE3D27D4EB53)  # odd, one per lane; both 3 modulo 8, so powers differ in many bits
+
+
+class WordHashes:
+    """Hashes of all words of a buffer at once.
+
+    A word's hash is a polynomial of its bytes: the difference of two running sums
+    over the buffer, moved to exponent zero by the inverse power of its start.  Long
+    words are hashed by themselves.
+    """
+
+    LONG = 64
+
+    def __init__(self):
+        self.powers = [[np.ones(1, np.uint64)] * 2 for _ in _BASES]
+
+    def _powers(self, n: int, lane: int) -> list[np.ndarray]:
+        """Powers of the lane's base and of its inverse, ``n`` of each at least."""
+        if len(self.powers[lane][0]) < n:
+            n = max(n, 2 * SLICE_BYTES)
+            for k, base in enumerate((_BASES[lane], pow(_BASES[lane], -1, 1 << 64))):
+                factors = np.full(n, base, np.uint64)
+                factors[0] = 1
+                self.powers[lane][k] = np.cumprod(factors)
+        return self.powers[lane]
+
+    def of(self, raw: bytes, lane: int) -> tuple[np.ndarray, np.ndarray]:
+        """Start and hash of every word."""
+        starts, hashes, at = [], [], 0
+        while at < len(raw):
+            end = min(len(raw), at + SLICE_BYTES)
+            part = np.frombuffer(raw, np.uint8, end - at, at)
+            cut = np.flatnonzero(_WHITE[part]) if end < len(raw) else ()
+            while end < len(raw) and not len(cut):  # a word longer than a slice
+                end = min(len(raw), 2 * end - at)
+                part = np.frombuffer(raw, np.uint8, end - at, at)
+                cut = np.flatnonzero(_WHITE[part])
+            if end < len(raw):
+                part = part[: cut[-1] + 1]
+            first, hashed = self._slice(part, lane)
+            starts.append(first + at)
+            hashes.append(hashed)
+            at += len(part)
+        return np.concatenate([*starts, np.zeros(0, np.int64)]), np.concatenate([*hashes, np.zeros(0, np.uint64)])
+
+    def _slice(self, part: np.ndarray, lane: int) -> tuple[np.ndarray, np.ndarray]:
+        white = np.ones(len(part) + 2, bool)
+        white[1:-1] = _WHITE[part]
+        edges = np.flatnonzero(white[1:] != white[:-1])
+        first, last = edges[::2], edges[1::2]
+        power, inverse = self._powers(len(part) + 1, lane)
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * power[: len(part)], out=sums[1:])
+        hashed = (sums[last] - sums[first]) * inverse[first]
+        for k in np.flatnonzero(last - first > self.LONG):
+            hashed[k] = xxhash.xxh3_64_intdigest(part[first[k] : last[k]].tobytes(), seed=lane)
+        return first, joined(hashed, (last - first).astype(np.uint64), lane)
 
 
 def joined(a: np.ndarray, b: np.ndarray, lane: int) -> np.ndarray:
@@ -99,13 +155,15 @@ class Chunk:
     def __init__(self, ids: list[int | None], texts: list[bytes], window: int, memo: WordHashes):
         self.ids = np.array([LAST if i is None else i for i in ids], np.int64)
         self.window, self.block = window, (window + 1) // 2
-        words = [np.fromiter(map(memo.__getitem__, t.split()), np.uint64) for t in texts]
-        self.sizes = np.array([len(w) for w in words], np.int64)
+        self.memo, self.raw = memo, b" ".join(texts)
+        at, word = memo.of(self.raw, 0)
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        self.doc = np.searchsorted(ends, at, "right")
+        self.sizes = np.bincount(self.doc, minlength=len(texts))
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
-        self.word = np.concatenate([*words, np.zeros(0, np.uint64)])
-        self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        self.place = np.arange(len(self.word)) - self.starts[self.doc]  # in its document
-        self.hashes = run_hashes(self.word, self.block, 0)
+        self.n_words = len(word)
+        self.place = np.arange(len(word)) - self.starts[self.doc]  # in its document
+        self.hashes = run_hashes(word, self.block, 0)
 
     def room(self, n: int) -> np.ndarray:
         """Where ``n`` words of one document begin."""
@@ -129,7 +187,7 @@ class Chunk:
         for bucket, bits in answers or ():
             low, high = np.searchsorted(keys, [np.uint64(bucket << 32), np.uint64(bucket + 1 << 32)])
             live[low:high] |= np.unpackbits(np.frombuffer(bits, np.uint8), count=int(high - low)).astype(bool)
-        hits = np.zeros(len(self.word) + 1, np.int64)
+        hits = np.zeros(self.n_words + 1, np.int64)
         hits[at + 1] = live[number]
         upto = np.cumsum(hits)
         starts = self.room(self.window)
@@ -140,7 +198,7 @@ class Chunk:
         the first (id, place) of each, and by window its sequence and whether it comes after that first."""
         lanes = []
         for lane in range(2):
-            block = self.hashes if lane == 0 else run_hashes(self.word, self.block, 1)
+            block = self.hashes if lane == 0 else run_hashes(self.memo.of(self.raw, 1)[1], self.block, 1)
             lanes.append(joined(block[starts], block[starts + self.window - self.block], lane))
         bucket = (lanes[0] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)  # ascends with the hash
         order = np.lexsort(lanes[::-1])
@@ -158,7 +216,7 @@ class Chunk:
 
     def removed(self, starts: np.ndarray) -> np.ndarray:
         """Which words the windows at ``starts`` cover."""
-        edges = np.zeros(len(self.word) + 1, np.int64)
+        edges = np.zeros(self.n_words + 1, np.int64)
         np.add.at(edges, starts, 1)
         np.add.at(edges, starts + self.window, -1)
         return np.cumsum(edges)[:-1] > 0
@@ -277,7 +335,7 @@ def repeated_words(docs: DataFrame, window: int = 20, chunk_bytes: int = CHUNK_B
         """``work(row, chunk)`` over the chunks of a task."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            memo = WordHashes(1 << 17)
+            memo = WordHashes()
 
             def rows():
                 for batch in batches:
