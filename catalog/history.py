@@ -201,7 +201,7 @@ def _feed_lines(spark, sf):
 def _run_feed(spark, sf):
     root = scratch_path(spark, "feed")
     _feed_lines(spark, sf).repartition(6).write.text(f"{root}/in")
-    writer = feed.FeedWriter(f"{root}/out", snapshot_every=2)
+    writer = feed.FeedWriter(f"{root}/out", snapshot_every=2, buckets=8)
     stream = feed.events_from_files(spark, f"{root}/in", files_per_batch=1)
     writer.start(stream, f"{root}/checkpoint", once=True).awaitTermination()
     return writer

@@ -2,21 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Rows without a key never match; they are spread over this many join keys so
 # that they do not meet in one task.
 NULL_KEY_SPREAD = 4096
 
 
-def last_wins_rows(df: DataFrame, key: str, order: str) -> DataFrame:
-    """One row per key: the one with the greatest ``order``.
+def last_wins_rows(df: DataFrame, key: str | list[str], order: str | list[str], unique: bool = False) -> DataFrame:
+    """One row per key: the one with the greatest ``order`` (columns, or structs of them; null is least).
 
-    An aggregate with map-side combine, so a hot key costs one row per task.
+    First a hash aggregate of keys and the leading order column alone, combined
+    before its shuffle; then a semi-join keeps the rows that reach the greatest.
+    It joins on key and order, so the rows of a hot key are spread by their order.
+    Rows that tie there are ranked by the rest of ``order``.  ``unique`` says that
+    the leading column decides, which saves that step.
     """
-    row = F.struct(*[F.col(c) for c in df.columns])
-    return df.groupBy(key).agg(F.max_by(row, F.col(order)).alias("_row")).select("_row.*")
+    keys = [key] if isinstance(key, str) else list(key)
+    parts = []
+    for name in [order] if isinstance(order, str) else order:
+        kind = df.schema[name].dataType
+        parts += [F.col(name)[f.name] for f in kind] if isinstance(kind, T.StructType) else [F.col(name)]
+    greatest = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max(parts[0]).alias("_most"))
+    same = parts[0].eqNullSafe(F.col("_most"))
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+    won = df.join(greatest, same, "left_semi")
+    if unique:
+        return won
+    ranked = Window.partitionBy(*keys).orderBy(*[p.desc() for p in parts[1:]] or [F.lit(0)])
+    return won.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
 
 
 def lookup_join(

@@ -37,6 +37,45 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(jvm_path, True)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
+    jvm_path, fs = _hadoop_path(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(jvm_path)] if fs.exists(jvm_path) else []
+
+
+def bytes_by_folder(spark: SparkSession, path: str) -> dict[str, int]:
+    """Bytes of the files below ``path``, by the name of the folder each lies in."""
+    jvm_path, fs = _hadoop_path(spark, path)
+    sizes: dict[str, int] = {}
+    if fs.exists(jvm_path):
+        files = fs.listFiles(jvm_path, True)
+        while files.hasNext():
+            status = files.next()
+            name = status.getPath().getParent().getName()
+            sizes[name] = sizes.get(name, 0) + status.getLen()
+    return sizes
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that readers see whole or not at all; one that is there is replaced."""
+    staged, fs = _hadoop_path(spark, staging_path(path))
+    out = fs.create(staged, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    move_into_place(spark, staged.toString(), path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    jvm_path, fs = _hadoop_path(spark, path)
+    stream = fs.open(jvm_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def staging_path(target: str) -> str:
     """A fresh sibling of ``target``, so that the final move stays on one file system."""
     return f"{target.rstrip('/')}.staging-{uuid.uuid4().hex}"

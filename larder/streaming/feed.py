@@ -6,26 +6,29 @@ Events: code, flavor, action, timestamp, position (place in the stream), diffs
 Everything up to the writer is stateless, so it runs the same on a stream and on
 a table.  Changes are ordered by their place in the stream alone (by time only
 where none is given), so the cut into micro-batches decides nothing.  The writer
-keeps four things under one root folder:
+stores what a micro-batch brings in one write, of three kinds:
 
-- ``changes/batch=N``: captured updates and deletions of micro-batch N;
-- ``refused/batch=N``: events that cannot be applied, with the reason;
-- ``assets/batch=N``: image objects to store or remove;
-- ``latest/upto=N``: a snapshot of the newest change per product.
+- ``change``: captured updates and deletions;
+- ``refused``: events that cannot be applied, with the reason;
+- ``asset``: image objects to store or remove.
 
-A replayed micro-batch overwrites its own folder, so nothing is stored twice.
+The newest change per product is kept in a merged store (``streaming/store.py``).
+A replayed micro-batch replaces its own folder, so nothing is stored twice.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from larder.functions.facets import image_paths, revision_path
 from larder.functions.json_text import strip_user_ids
+from larder.operators.joins import last_wins_rows
 from larder.operators.rows import exploded
-from larder.sources.files import delete_path, path_exists
+from larder.streaming.store import SMALL_BYTES, MergedStore
 
 EVENT_SCHEMA = (
     "code STRING, flavor STRING, action STRING, timestamp TIMESTAMP, position BIGINT, "
@@ -39,9 +42,11 @@ CHANGE_SCHEMA = (
 
 # The kinds of product an event may come from.
 FLAVORS = ("off", "obf", "opff", "opf", "off_pro")
-REFUSED_SCHEMA = "position BIGINT, code STRING, reason STRING, line STRING"
-# Later in the stream wins.
-ORDER = ["position", "timestamp"]
+LOG_SCHEMA = CHANGE_SCHEMA + ", reason STRING, line STRING, op STRING, image_id STRING"
+REFUSED = ["position", "code", "reason", "line"]
+ASSET = ["code", "timestamp", "position", "op", "image_id", "path"]
+# Later in the stream wins; at one place the revision decides, then the text.
+ORDER = ["position", "timestamp", "rev", "body"]
 
 
 # The revision number of a document that is an object.
@@ -157,16 +162,8 @@ def image_manifest(routed: DataFrame, assets: DataFrame | None = None) -> DataFr
 
 
 def newest_per_product(changes: DataFrame, order: list[str], deletions: bool = False) -> DataFrame:
-    """The last change of each code by ``order``; left out if it is a deletion, unless asked for.
-
-    Only codes and orders are aggregated, in a hash aggregate with map-side
-    combine; the bodies of the rows that won are fetched by a join afterwards.
-    """
-    at = F.struct(*order)
-    last = changes.groupBy("code").agg(F.max(at).alias("_last"))
-    won = changes.join(last, "code").filter(at == F.col("_last")).drop("_last")
-    # A change stored twice, at one place of the stream, counts once.
-    won = won.dropDuplicates(["code"]).select(*changes.columns)
+    """The last change of each code by ``order``; left out if it is a deletion, unless asked for."""
+    won = last_wins_rows(changes, "code", order)
     return won if deletions else won.filter(F.col("action") != "deleted")
 
 
@@ -174,21 +171,27 @@ class FeedWriter:
     """``foreachBatch`` writer and reader of the stored feed."""
 
     def __init__(
-        self, root: str, snapshot_every: int = 50, assets: DataFrame | None = None, flavors: tuple[str, ...] | None = FLAVORS
+        self, root: str, snapshot_every: int = 50, assets: DataFrame | None = None, flavors: tuple[str, ...] | None = FLAVORS,
+        buckets: int = 64, keep: int = 2, small_bytes: int = SMALL_BYTES,
     ):
-        self.root = root.rstrip("/")
         self.snapshot_every = snapshot_every
         self.assets = assets
         self.flavors = flavors
+        # With deletions, so that an earlier change that arrives late stays deleted.
+        self.store = MergedStore(
+            root, LOG_SCHEMA, CHANGE_SCHEMA, "code", "change", lambda rows: newest_per_product(rows, ORDER, deletions=True), buckets, keep, small_bytes
+        )
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            refused_events(batch, self.flavors).write.mode("overwrite").parquet(f"{self.root}/refused/batch={batch_id}")
             known = batch if self.flavors is None else batch.filter(F.col("flavor").isin(*self.flavors))
             routed = route_events(known)
-            capture_changes(routed).write.mode("overwrite").parquet(f"{self.root}/changes/batch={batch_id}")
-            image_manifest(routed, self.assets).write.mode("overwrite").parquet(f"{self.root}/assets/batch={batch_id}")
+            kinds = {
+                "change": capture_changes(routed), "refused": refused_events(batch, self.flavors), "asset": image_manifest(routed, self.assets),
+            }
+            parts = [part.withColumn("kind", F.lit(kind)) for kind, part in kinds.items()]
+            self.store.append(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), batch_id)
         finally:
             batch.unpersist()
         if (batch_id + 1) % self.snapshot_every == 0:
@@ -200,55 +203,21 @@ class FeedWriter:
             writer = writer.trigger(availableNow=True)
         return writer.start()
 
+    def snapshot(self, spark: SparkSession, batch_id: int) -> None:
+        """Fold the changes up to ``batch_id`` into the latest view."""
+        self.store.snapshot(spark, batch_id)
+
     def revisions(self, spark: SparkSession) -> DataFrame:
         """Stored revisions, each once: of several under one code and number the last counts."""
-        stored = self._changes(spark).filter(F.col("action") == "updated")
-        at = F.struct(*ORDER)
-        last = stored.groupBy("code", "rev").agg(F.max(at).alias("_last"))
-        won = stored.join(last, ["code", "rev"]).filter(at == F.col("_last"))
-        return won.dropDuplicates(["code", "rev"]).select(*stored.columns)
+        stored = self.store.log(spark, "change").select(*self.store.columns).filter(F.col("action") == "updated")
+        return last_wins_rows(stored, ["code", "rev"], ORDER)
 
     def refused(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(REFUSED_SCHEMA).parquet(f"{self.root}/refused")
+        return self.store.log(spark, "refused").select(*REFUSED)
 
     def manifest(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(f"{self.root}/assets")
-
-    def latest(self, spark: SparkSession) -> DataFrame:
-        """Newest revision per product: the last snapshot plus the changes after it."""
-        return self._newest(spark).filter(F.col("action") != "deleted")
+        return self.store.log(spark, "asset").select(*ASSET)
 
-    def _newest(self, spark: SparkSession) -> DataFrame:
-        """With deletions, so that an earlier change that arrives late stays deleted."""
-        base = self._last_snapshot(spark)
-        changes = self._changes(spark)
-        if base is not None:
-            stored = spark.read.parquet(f"{self.root}/latest/upto={base}")
-            changes = stored.unionByName(changes.filter(F.col("batch") > base))
-        return newest_per_product(changes, ORDER, deletions=True)
-
-    def snapshot(self, spark: SparkSession, batch_id: int) -> None:
-        """Fold the changes up to ``batch_id`` into a new snapshot."""
-        if self._last_snapshot(spark) == batch_id:
-            return
-        before = self._last_snapshot(spark)
-        self._newest(spark).write.mode("overwrite").parquet(f"{self.root}/latest/upto={batch_id}")
-        if before is not None:  # superseded now
-            delete_path(spark, f"{self.root}/latest/upto={before}")
-
-    def _changes(self, spark: SparkSession) -> DataFrame:
-        stored = spark.read.schema(CHANGE_SCHEMA + ", batch BIGINT").option("basePath", f"{self.root}/changes")
-        return stored.parquet(f"{self.root}/changes")
-
-    def _last_snapshot(self, spark: SparkSession) -> int | None:
-        folder = f"{self.root}/latest"
-        if not path_exists(spark, folder):
-            return None
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        done = [
-            int(s.getPath().getName().split("=")[1])
-            for s in fs.listStatus(path)
-            if s.isDirectory() and path_exists(spark, f"{folder}/{s.getPath().getName()}/_SUCCESS")
-        ]
-        return max(done, default=None)
+    def latest(self, spark: SparkSession, codes: list[str] | None = None) -> DataFrame:
+        """Newest revision per product; of ``codes`` only, without opening other buckets, if given."""
+        return self.store.view(spark, codes).filter(F.col("action") != "deleted")

@@ -104,6 +104,17 @@ def test_null_keys_are_spread(spark):
 def test_last_wins_rows(spark):
     df = spark.createDataFrame([(1, "a", 1), (1, "b", 3), (1, "c", 2), (2, "d", 1)], "id int, x string, pos int")
     assert {(r.id, r.x) for r in last_wins_rows(df, "id", "pos").collect()} == {(1, "b"), (2, "d")}
+    assert {(r.id, r.x) for r in last_wins_rows(df, "id", "pos", unique=True).collect()} == {(1, "b"), (2, "d")}
+
+
+def test_last_wins_rows_ties_and_nulls(spark):
+    """The rest of the order ranks ties; a null order is least, a null key is a key."""
+    rows = [(1, 5, "a", "x"), (1, 5, "b", "y"), (1, None, "z", "z"), (2, None, "c", "x"), (2, None, "d", "y"), (None, 1, "e", "x"), (None, 2, "f", "y")]
+    df = spark.createDataFrame(rows, "id int, n int, s string, x string")
+    expected = {(1, "y"), (2, "y"), (None, "y")}
+    for frame in (last_wins_rows(df, "id", ["n", "s"]), last_wins_rows(df.withColumn("pos", F.struct("n", "s")), "id", "pos")):
+        assert {(r.id, r.x) for r in frame.collect()} == expected
+        assert "SortAggregate" not in frame._jdf.queryExecution().executedPlan().toString()
 
 
 def test_input_only_fields_are_checked(lines):
