@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from catalog import Catalog, spread_table, table
 from larder.operators.joins import last_wins_rows, unknown_keys
 from larder.operators.joins import owner_hash as owner_hash_sql
-from larder.plans.prices import join_prices, parse_proofs, strict
+from larder.plans.prices import export_prices, join_prices, parse_proofs, strict
 from larder.schemas import LOCATION_COLUMNS, PRICE_COLUMNS, PROOF_COLUMNS, ddl
+from larder.session import scratch_path
 
 catalog = Catalog()
 
@@ -94,6 +95,38 @@ def price_join(spark, sf):
     )
 
 
+@catalog.query("""
+    WITH p AS (
+        SELECT l_orderkey * 10 + l_linenumber AS id,
+               CASE WHEN l_linenumber = 3 THEN 'type' END AS a,
+               CASE WHEN l_returnflag <> 'N' AND l_orderkey % 7 = 0 THEN 'unknown proof_id' END AS b,
+               CASE WHEN l_linestatus <> 'O' AND l_suppkey % 5 = 0 THEN 'unknown location_id' END AS c
+        FROM lineitem)
+    SELECT 'price' AS record, id, concat_ws(',', a, b, c) AS reasons FROM p
+    UNION ALL SELECT 'proof', o_orderkey, 'currency' FROM orders WHERE o_orderkey % 7 = 0
+    UNION ALL SELECT 'location', s_suppkey, 'type' FROM supplier WHERE s_suppkey % 5 = 0
+""")
+def price_quarantine(spark, sf):
+    """A whole export of JSON lines that goes on: kept prices without a reason, refused records with all of theirs."""
+    root = scratch_path(spark, "prices")
+    records = {
+        "price": table(spark, sf, "lineitem").selectExpr(
+            "to_json(named_struct('id', l_orderkey * 10 + l_linenumber, 'type', CASE WHEN l_linenumber <> 3 THEN 'PRODUCT' END, "
+            "'product_code', CAST(l_partkey AS STRING), 'proof_id', CASE WHEN l_returnflag <> 'N' THEN l_orderkey END, "
+            "'location_id', CASE WHEN l_linestatus <> 'O' THEN l_suppkey END)) AS value"),
+        "proof": table(spark, sf, "orders").selectExpr(
+            "concat('{\"id\":', o_orderkey, ',\"type\":\"RECEIPT\",\"currency\":', CASE WHEN o_orderkey % 7 = 0 THEN '5' ELSE '\"EUR\"' END, '}') AS value"),
+        "location": table(spark, sf, "supplier").selectExpr(
+            "to_json(named_struct('id', s_suppkey, 'type', CASE WHEN s_suppkey % 5 <> 0 THEN 'OSM' END)) AS value"),
+    }
+    for name, lines in records.items():
+        lines.write.text(f"{root}/{name}")
+    export_prices(spark, {name: f"{root}/{name}" for name in records}, f"{root}/out", "quarantine", f"{root}/refused")
+    kept = spark.read.parquet(f"{root}/out").select(F.lit("price").alias("record"), "id", F.lit("").alias("reasons"))
+    refused = spark.read.parquet(f"{root}/refused").select("record", F.expr("CAST(get_json_object(line, '$.id') AS BIGINT) AS id"), F.array_join("errors", ",").alias("reasons"))
+    return kept.withColumn("id", F.col("id").cast("bigint")).unionByName(refused)
+
+
 @catalog.query("""
     SELECT l_orderkey, count(*) AS n FROM lineitem
     WHERE l_returnflag <> 'N' AND NOT EXISTS (

@@ -103,6 +103,34 @@ def quarantine(spark, sf):
     return good.union(plan.quarantine(rows).select("code", F.array_join("errors", ",")))
 
 
+@catalog.query("""
+    WITH r AS (
+        SELECT CASE WHEN p_type = 'PROMO' THEN 'brands_tags' WHEN p_type = 'SMALL' THEN 'rev'
+                    WHEN p_type = 'LARGE' THEN 'overflow:max_imgid' WHEN p_partkey % 50 = 0 THEN 'ingredients' END AS reason FROM part)
+    SELECT 'read' AS counted, '' AS reason, count(*) AS n FROM r
+    UNION ALL SELECT 'kept', '', count(*) FROM r WHERE reason IS NULL
+    UNION ALL SELECT 'refused', '', count(*) FROM r WHERE reason IS NOT NULL
+    UNION ALL SELECT 'refused', reason, count(*) FROM r WHERE reason IS NOT NULL GROUP BY reason
+""")
+def export_report(spark, sf):
+    """What a whole export says it read, kept and refused; every tenth list is nested deeper than unrolled."""
+    lines = spread_table(spark, sf, "part").select(
+        F.expr(
+            "concat('{\"code\":\"', p_partkey, '\",\"brands_tags\":', "
+            "CASE p_type WHEN 'PROMO' THEN '[\"a\",1]' ELSE '[\"a\"]' END, "
+            "',\"rev\":', CASE p_type WHEN 'SMALL' THEN '\"x\"' ELSE CAST(p_size AS STRING) END, "
+            "',\"max_imgid\":', CASE p_type WHEN 'LARGE' THEN '99999999999' ELSE '1' END, "
+            "CASE WHEN p_partkey % 10 = 0 AND p_type NOT IN ('PROMO', 'SMALL', 'LARGE') THEN concat(',\"ingredients\":[', "
+            f"repeat('{{\"text\":\"a\",\"ingredients\":[', 8), '{{\"text\":', CASE WHEN p_partkey % 50 = 0 THEN '5' ELSE '\"b\"' END, '}}', "
+            "repeat(']}', 8), ']') ELSE '' END, '}')"
+        ).alias("line")
+    )
+    report = plan.export_products(spark, lines, scratch_path(spark, "report"), "beauty")
+    rows = [("read", "", report.read), ("kept", "", report.kept), ("refused", "", report.refused)]
+    rows += [("refused", reason, n) for reason, n in report.reasons.items()]
+    return spark.createDataFrame(rows, "counted string, reason string, n long")
+
+
 # --- scalars --------------------------------------------------------------------------
 
 

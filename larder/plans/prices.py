@@ -33,6 +33,7 @@ from larder.schemas import (
     price_schema,
 )
 from larder.sources.files import delete_path, read_lines, staging_path, write_parquet
+from larder.sources.outcomes import GOOD, ExportReport, Outcomes, counted
 
 # Lines that are no JSON object end up in the member _bad.
 _OPTIONS = JSON_OPTIONS[:-1] + ", 'columnNameOfCorruptRecord', '_bad')"
@@ -142,40 +143,48 @@ def export_prices(
     target: str,
     on_error: str = "fail",
     quarantine_target: str | None = None,
-) -> None:
+) -> ExportReport:
     """Prices, proofs and locations (JSON lines) to one Parquet dataset.
 
     By default one bad record, or a key without a record, stops the export.
     With ``on_error="quarantine"`` such rows are left out and stored, with the
     reasons (one row each, however many there are), at ``quarantine_target``.
+    Prices are counted in the pass that writes them.
     """
     if on_error not in ("fail", "quarantine"):
         raise ValueError(f"unknown on_error: {on_error}")
     prices = parse_prices(read_lines(spark, sources["price"]))
     proofs = parse_proofs(read_lines(spark, sources["proof"], position=True))
     locations = parse_locations(read_lines(spark, sources["location"], position=True))
+    schema = price_schema()
     if on_error == "fail":
         flat = join_prices(
             strict(prices, "price"), strict(proofs, "proof"), strict(locations, "location")
         )
-        write_parquet(flat, target, price_schema())
-        return
+        rows, seen = counted(flat.withColumn("_errors", F.expr("CAST(array() AS ARRAY<STRING>)")), [])
+        write_parquet(rows.drop("_errors"), target, schema)
+        return ExportReport.of(seen.get)
     fine = F.size("_errors") == 0
-    # One join of all prices, stored once: both outputs are pruned reads of it.
+    keys = {"_no_proof": "unknown proof_id", "_no_location": "unknown location_id"}
     wide = _with_lookups(prices, proofs.filter(fine), locations.filter(fine), must_exist=False)
-    reasons = F.array_compact(
-        F.concat(
-            F.col("_errors"),
-            F.array(*[F.when(F.col(flag), F.lit(f"unknown {key}")) for flag, key in (("_no_proof", "proof_id"), ("_no_location", "location_id"))]),
-        )
-    )
+    unknown = F.array(*[F.when(F.col(flag), F.lit(reason)) for flag, reason in keys.items()])
+    wide = wide.withColumn("_errors", F.array_compact(F.concat("_errors", unknown)))
+    wide, seen = counted(wide, ["json", *[f.name for f in ddl(PRICE_COLUMNS)], *keys.values()])
+    note = F.when(~fine, F.struct(F.col("_errors").alias("errors"), "line"))
     staged = staging_path(target)
-    wide.withColumn("_errors", reasons).drop("_no_proof", "_no_location").write.parquet(staged)
-    rows = spark.read.parquet(staged)
-    write_parquet(_flat(rows.filter(fine)), target, price_schema())
-    if quarantine_target:
-        out = rows.filter(~fine).select(F.lit("price").alias("record"), F.col("_errors").alias("errors"), "line")
-        for what, records in (("proof", proofs), ("location", locations)):
-            out = out.unionByName(records.filter(~fine).select(F.lit(what).alias("record"), F.col("_errors").alias("errors"), "line"))
-        write_parquet(out, quarantine_target)
-    delete_path(spark, staged)
+    try:
+        # One write of all prices; the good ones are not touched again.
+        out = Outcomes(spark, staged, schema, "product_code")
+        out.write(wide.withColumns({"outcome": F.when(fine, GOOD).otherwise("refused"), "note": note}))
+        counts = seen.get
+        refused = out.read("refused", "errors ARRAY<STRING>, line STRING").select(
+            F.lit("price").alias("record"), F.col("note.errors").alias("errors"), F.col("note.line").alias("line")
+        )
+        out.commit(target)
+        if quarantine_target:
+            for what, records in (("proof", proofs), ("location", locations)):
+                refused = refused.unionByName(records.filter(~fine).select(F.lit(what).alias("record"), F.col("_errors").alias("errors"), "line"))
+            write_parquet(refused, quarantine_target)
+    finally:
+        delete_path(spark, staged)
+    return ExportReport.of(counts)

@@ -11,6 +11,8 @@ The plan is three narrow projections and no shuffle:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,13 +44,14 @@ from larder.operators.language import language_list, language_members, language_
 from larder.operators.members import category_codes, owner_fields, packagings
 from larder.operators.nutriments import nutrients, nutrients_misfit
 from larder.schemas import LANGUAGE_FIELDS, product_schema
-from larder.session import scratch_path
 from larder.sources.files import (
     delete_path,
     in_schema,
     read_lines,
+    staging_path,
     write_parquet,
 )
+from larder.sources.outcomes import GOOD, ExportReport, Outcomes, counted
 
 # Members whose own key order is kept, so they travel as raw text.
 RAW_TEXT = (
@@ -118,7 +121,7 @@ def parse_products(lines: DataFrame, flavor: str) -> DataFrame:
     ``_errors`` names the fields that do not fit ("overflow:x" for whole numbers
     too large for the column); it is empty for good rows.  ``_deep`` holds the
     ingredient list of documents nested beyond the unrolled levels: their
-    ``ingredients`` is still to be filled, see ``finish_ingredients``.
+    ``ingredients`` is still to be filled, see ``with_deep_ingredients``.
     """
     schema = product_schema(flavor)
     names = [f.name for f in schema]
@@ -231,24 +234,9 @@ def parse_products(lines: DataFrame, flavor: str) -> DataFrame:
     )
 
 
-def finish_ingredients(rows: DataFrame) -> DataFrame:
-    """Fill ``ingredients`` of the deeply nested rows.
-
-    ``rows`` should be a stored table: the two halves then are two pruned reads,
-    and only the deep half passes through Python.
-    """
-    shallow = rows.filter(F.col("_deep").isNull())
-    deep = (
-        rows.filter(F.col("_deep").isNotNull())
-        .withColumn("ingredients", deep_ingredients("_deep"))
-        .withColumn(
-            "_errors",
-            F.when(
-                F.col("ingredients").isNull(), F.concat("_errors", F.array(F.lit("ingredients")))
-            ).otherwise(F.col("_errors")),
-        )
-    )
-    return shallow.unionByName(deep).drop("_deep")
+def with_deep_ingredients(rows: DataFrame, text: str) -> DataFrame:
+    """``ingredients`` filled from the nested list in column ``text``; NULL where the rules refuse it."""
+    return rows.withColumn("ingredients", deep_ingredients(text))
 
 
 def good_rows(rows: DataFrame, flavor: str) -> DataFrame:
@@ -263,42 +251,60 @@ def quarantine(rows: DataFrame) -> DataFrame:
     )
 
 
-def stage_products(lines: DataFrame, flavor: str, path: str) -> DataFrame:
-    """Parse once, store the result, and return it with all ingredients filled."""
-    rows = parse_products(lines, flavor)
-    # The line itself is only needed again for refused rows.
-    rows.withColumn("line", F.when(F.size("_errors") > 0, F.col("line"))).write.parquet(path)
-    return finish_ingredients(lines.sparkSession.read.parquet(path))
+NOTE = "errors ARRAY<STRING>, line STRING, deep STRING"
+
+
+def by_outcome(rows: DataFrame) -> DataFrame:
+    """Parsed rows with ``outcome`` (good, refused, or deep: list still to be filled) and a note on those not good."""
+    outcome = F.when(F.col("_deep").isNotNull(), "deep").when(F.size("_errors") > 0, "refused").otherwise(GOOD)
+    note = F.when(outcome != GOOD, F.struct(F.col("_errors").alias("errors"), "line", F.col("_deep").alias("deep")))
+    return rows.withColumns({"outcome": outcome, "note": note}).drop("line", "_errors", "_deep")
 
 
 def export_products(
     spark: SparkSession,
-    source: str,
+    source: str | DataFrame,
     target: str,
     flavor: str,
     quarantine_target: str | None = None,
     on_overflow: str = "quarantine",
-) -> None:
-    """JSON lines at ``source`` to Parquet at ``target``.
+) -> ExportReport:
+    """JSON lines at ``source`` (or of its column ``line``) to Parquet at ``target``.
 
     Refused rows go to ``quarantine_target`` when given.  Whole numbers too large
     for their column refuse the row, or stop the export with
-    ``on_overflow="fail"``.
+    ``on_overflow="fail"``.  Rows are counted in the pass that writes them.
+    Every row is written once, except those refused or with a deeply nested
+    ingredient list.
     """
-    product_schema(flavor)  # an unknown flavor fails before any work
+    schema = product_schema(flavor)  # an unknown flavor fails before any work
     if on_overflow not in ("quarantine", "fail"):
         raise ValueError(f"unknown on_overflow: {on_overflow}")
-    lines = read_lines(spark, source)
-    stage = scratch_path(spark, "products")
-    rows = stage_products(lines, flavor, stage)
+    lines = read_lines(spark, source) if isinstance(source, str) else source
+    whole = [f"overflow:{f.name}" for f in schema if f.dataType.simpleString() == "int"]
+    rows, seen = counted(parse_products(lines, flavor), ["json", *schema.names, *whole])
+    stage = staging_path(target)
     try:
-        if on_overflow == "fail":
-            overflow = rows.filter(F.expr("exists(_errors, e -> startswith(e, 'overflow:'))"))
-            first = overflow.select("code", "_errors").head()
-            if first:
-                raise OverflowError(f"product {first.code}: {first._errors}")
-        write_parquet(good_rows(rows, flavor), target)
+        first, second = (Outcomes(spark, f"{stage}/{part}", schema, "code") for part in ("first", "second"))
+        first.write(by_outcome(rows))
+        counts = seen.get
+        if on_overflow == "fail" and any(counts[name] for name in whole):
+            bad = first.read("refused", NOTE).unionByName(first.read("deep", NOTE))
+            row = bad.filter(F.expr("exists(note.errors, e -> startswith(e, 'overflow:'))")).head()
+            raise OverflowError(f"product {row.code}: {row.note.errors}")
+        refused = [first.read("refused", NOTE)]
+        if first.has("deep"):
+            deep = with_deep_ingredients(first.read("deep", NOTE), "note.deep")
+            late = F.when(F.col("ingredients").isNull(), F.array(F.lit("ingredients"))).otherwise(F.expr("CAST(array() AS ARRAY<STRING>)"))
+            deep = deep.withColumns({"_errors": F.concat("note.errors", late), "line": F.col("note.line"), "_deep": F.lit(None).cast("string")})
+            deep, seen = counted(deep, ["ingredients"], F.col("ingredients").isNull() & (F.size("note.errors") == 0))
+            second.write(by_outcome(deep))
+            counts = {name: n + seen.get.get(name, 0) * (name != "read") for name, n in counts.items()}
+            refused.append(second.read("refused", NOTE))
+        first.commit(target, second)
         if quarantine_target:
-            write_parquet(quarantine(rows), quarantine_target)
+            out = reduce(DataFrame.unionByName, refused).select("code", "note.errors", "note.line")
+            write_parquet(out, quarantine_target)
     finally:
         delete_path(spark, stage)
+    return ExportReport.of(counts)

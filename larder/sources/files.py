@@ -37,6 +37,15 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(jvm_path, True)
 
 
+def move_files(spark: SparkSession, source: str, target: str) -> None:
+    """Move the data files of one folder into another that exists; their names differ."""
+    folder, fs = _hadoop_path(spark, source)
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if not name.startswith(("_", ".")) and not fs.rename(status.getPath(), _hadoop_path(spark, f"{target}/{name}")[0]):
+            raise OSError(f"could not move {status.getPath()} to {target}")
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder; none if it does not exist."""
     jvm_path, fs = _hadoop_path(spark, path)

@@ -2,6 +2,8 @@
 
 import gzip
 import json
+import random
+from pathlib import Path
 
 import pytest
 
@@ -100,7 +102,8 @@ def test_export(spark, tmp_path, flavor, columns):
         fp.write("\n".join(map(json.dumps, docs)) + "\n")
     target, refused = str(tmp_path / "out.parquet"), str(tmp_path / "refused")
     for _ in range(2):  # a second run replaces the first
-        plan.export_products(spark, str(source), target, flavor, refused)
+        report = plan.export_products(spark, str(source), target, flavor, refused)
+        assert (report.read, report.kept, report.refused, report.reasons) == (3, 2, 1, {"brands_tags": 1})
     out = spark.read.parquet(target)
     assert [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in product_schema(flavor)]
     assert len(out.columns) == columns
@@ -114,6 +117,35 @@ def test_export(spark, tmp_path, flavor, columns):
     assert [(r.code, r.errors, json.loads(r.line)) for r in bad] == [("2", ["brands_tags"], docs[1])]
 
 
+def test_good_rows_are_written_once(spark, tmp_path, monkeypatch):
+    """Bytes written by all jobs of an export, next to those of its output."""
+    source = tmp_path / "in.jsonl"
+    rng = random.Random(2)
+    docs = [{"code": str(n), "brands": rng.randbytes(500).hex(), "ingredients": [DEEP] if n % 200 == 0 else []} for n in range(2000)]
+    docs[1::100] = [{"code": f"bad {n}", "rev": "x"} for n in range(20)]
+    source.write_text("".join(json.dumps(d) + "\n" for d in docs))
+    written = []
+    delete = plan.delete_path
+    monkeypatch.setattr(plan, "delete_path", lambda s, path: (written.append(sum(f.stat().st_size for f in Path(path).rglob("*.parquet"))), delete(s, path)))
+    report = plan.export_products(spark, str(source), str(tmp_path / "out"), "beauty", str(tmp_path / "refused"))
+    assert (report.read, report.kept, report.reasons) == (2000, 1980, {"rev": 20})
+    kept = sum(f.stat().st_size for f in (tmp_path / "out").rglob("*.parquet"))
+    # What is left in the staging folder when all is in place was written besides the output.
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1980 and written[0] < 0.1 * kept
+
+
+def test_refused_deep_lists(spark, tmp_path):
+    """A list that only the last step can refuse, alone and beside another fault."""
+    bad = json.loads(json.dumps(DEEP).replace('"leaf"', "5"))
+    docs = [{"code": "1", "ingredients": [bad]}, {"code": "2", "ingredients": [bad], "rev": "x"}, {"code": "3", "ingredients": [DEEP], "rev": "x"}, {"code": "4", "ingredients": [DEEP]}]
+    (tmp_path / "in.jsonl").write_text("".join(json.dumps(d) + "\n" for d in docs))
+    report = plan.export_products(spark, str(tmp_path / "in.jsonl"), str(tmp_path / "out"), "food", str(tmp_path / "refused"))
+    assert (report.read, report.kept, report.refused, report.reasons) == (4, 1, 3, {"rev": 2, "ingredients": 2})
+    rows = {r.code: r for r in spark.read.parquet(str(tmp_path / "refused")).collect()}
+    assert {c: r.errors for c, r in rows.items()} == {"1": ["ingredients"], "2": ["rev", "ingredients"], "3": ["rev"]}
+    assert json.loads(rows["3"].line) == docs[2] and [r.code for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["4"]
+
+
 def test_overflow_can_stop_the_export(spark, tmp_path):
     source = tmp_path / "in.jsonl"
     source.write_text('{"code": "1", "rev": 99999999999}\n')
