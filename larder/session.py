@@ -18,6 +18,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     # Splits the partitions of hot join keys at run time.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rows of a few outcomes go straight to their files instead of being sorted by outcome.
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
 }
 
 

@@ -38,8 +38,10 @@ def counted(rows: DataFrame, names: list[str], refused: Column | None = None) ->
     """``rows`` that count themselves while they are written: all, refused ones, and each of ``names`` in ``_errors``."""
     seen = Observation()
     refused = F.size("_errors") > 0 if refused is None else refused
+    bad = F.col("_bad")  # most rows have no errors; they are not searched for each name
     counts = [F.count(F.lit(1)).alias("read"), F.count_if(refused).alias("refused")]
-    return rows.observe(seen, *counts, *[F.count_if(F.array_contains("_errors", name)).alias(name) for name in names]), seen
+    counts += [F.count_if(bad & F.array_contains("_errors", name)).alias(name) for name in names]
+    return rows.withColumn("_bad", F.size("_errors") > 0).observe(seen, *counts).drop("_bad"), seen
 
 
 class Outcomes:
