@@ -10,10 +10,13 @@ file; one that knows the tables unpacks only the frames of the documents asked f
 from __future__ import annotations
 
 import functools
+import os
 import re
+import string
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -33,6 +36,7 @@ HAS_CHECKSUMS = 0x80
 FRAME_IDS = 1 << 16  # ids in a frame, a document longer than that goes over several
 LEVEL = 3
 CACHED_PIECES = 400_000  # per worker, twice
+RANGE_CHARS = 16  # of a text, that may set the bounds of a file
 
 _INDEX = np.dtype([("doc_id", "<i8"), ("has_id", "u1"), ("start", "<u8"), ("n", "<u8")])
 
@@ -41,62 +45,99 @@ _INDEX = np.dtype([("doc_id", "<i8"), ("has_id", "u1"), ("start", "<u8"), ("n",
 
 _TWO_SPACES = re.compile(r"\s\s")
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-_MARKS = ".,;:!?"
+ENCODED_AT_ONCE = 10_000  # new pieces handed to the tokenizer in one call
+
+
+class _Slot:
+    """Stands for the ids of a piece until they are known: those of ``core`` and then ``marks``, if it has one."""
+
+    __slots__ = ("ids", "core", "marks")
+
+    def __init__(self, core=None, marks: bytes = b""):
+        self.ids, self.core, self.marks = None, core, marks
 
 
 class _Pieces(Memo):
-    """Ids of text pieces, as bytes, filled from the tokenizer on demand.
+    """Ids of text pieces, as bytes or in a slot that the encoder fills later.
 
     The tokenizer splits before it merges: a lone space opens a new part, a lone
     line feed is a part, and marks after a letter open one.  So pieces cut there
-    can be encoded apart from their surroundings.
+    can be encoded apart from their surroundings.  ``cut`` are the marks that no
+    special token of the tokenizer holds.
     """
 
-    def __init__(self, encode, lead: str = ""):
+    def __init__(self, encode, pending: list, joined: list, cut: str, lead: str = ""):
         super().__init__(CACHED_PIECES)
-        self.encode, self.lead = encode, lead
+        self.encode, self.pending, self.joined, self.cut, self.lead = encode, pending, joined, cut, lead
         self.marks: dict[str, bytes] = {}
 
-    def make(self, piece: str) -> bytes:
-        core = piece.rstrip(_MARKS)
+    def make(self, piece: str) -> _Slot:
+        core = piece.rstrip(self.cut)
         if core == piece or not core or not core[-1].isalpha():
-            return self.encode(self.lead + piece)
+            slot = _Slot()
+            self.pending.append((self.lead + piece, slot))
+            return slot
         marks = piece[len(core):]
-        if marks not in self.marks:
-            if len(marks) > 3:
-                return self[core] + self.encode(marks)
-            self.marks[marks] = self.encode(marks)
-        return self[core] + self.marks[marks]
+        ids = self.marks.get(marks) or self.encode(marks)
+        if len(marks) <= 3:
+            self.marks[marks] = ids
+        slot = _Slot(self[core], ids)
+        self.joined.append(slot)
+        return slot
 
 
 class Encoder:
-    """``encode(text)`` gives exactly what the tokenizers library gives, as little-endian uint32 bytes."""
+    """``encode_all(texts)`` gives exactly what the tokenizers library gives, as little-endian uint32 bytes."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+        self.tokenizer = Tokenizer.from_file(path)
+        self.pending: list[tuple[str, _Slot]] = []
+        self.joined: list[_Slot] = []
+        special = "".join(token.content for token in self.tokenizer.get_added_tokens_decoder().values())
+        cut = "".join(mark for mark in string.punctuation if mark not in special)
+        self.first = _Pieces(self._one, self.pending, self.joined, cut)
+        self.later = _Pieces(self._one, self.pending, self.joined, cut, " ")
+        self.line_feed = self._one("\n")
 
-        def encode(text: str) -> bytes:
-            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _one(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-        self.first, self.later = _Pieces(encode), _Pieces(encode, " ")
-        self.line_feed = encode("\n")
-
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
+    def _parts(self, text: str) -> list:
         if _TWO_SPACES.search(text):  # runs of white space stay inside pieces
             first, *later = _LONE_SPACE.split(text)
-            return self.first[first] + b"".join(map(self.later.__getitem__, later))
-        parts: list[bytes] = []
+            return [self.first[first], *map(self.later.__getitem__, later)]
+        parts = []
         for line in text.split("\n"):
             if parts:
                 parts.append(self.line_feed)
             first, *later = line.split(" ")
             parts.append(self.first[first] if first else b"")
             parts.extend(map(self.later.__getitem__, later))
-        return b"".join(parts)
+        return parts
+
+    def _fill(self) -> None:
+        """Encode the pieces met for the first time, many per call."""
+        for at in range(0, len(self.pending), ENCODED_AT_ONCE):
+            lot = self.pending[at : at + ENCODED_AT_ONCE]
+            found = self.tokenizer.encode_batch_fast([text for text, _ in lot], add_special_tokens=False)
+            for (_, slot), encoding in zip(lot, found):
+                slot.ids = array("I", encoding.ids).tobytes()
+        for slot in self.joined:  # a core comes before what is joined to it
+            core = slot.core
+            slot.ids = (core if core.__class__ is bytes else core.ids) + slot.marks
+        self.pending.clear()
+        self.joined.clear()
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        parts = [self._parts(text) if text else [] for text in texts]
+        self._fill()
+        return [b"".join([p if p.__class__ is bytes else p.ids for p in some]) for some in parts]
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
 
 
 @functools.cache
@@ -225,7 +266,8 @@ def write_token_files(docs: DataFrame, target: str, tokenizer: str, end_id: int
     writes files of its own; the manifest names those of the attempts that
     counted, so a retry after a lost executor leaves nothing double.  Null texts
     are empty (only the end id), null keys come first, rows with equal keys are
-    ordered by text, repeated rows are written as often as they occur.
+    ordered by text, repeated rows are written as often as they occur.  Ranges are
+    set by the key and the first characters of the text, so their sample stays small.
     """
     spark = docs.sparkSession
 
@@ -235,20 +277,22 @@ def write_token_files(docs: DataFrame, target: str, tokenizer: str, end_id: int
         bpe, end = encoder(tokenizer), struct.pack("<I", end_id)
         out, name, shard = None, "", TaskContext.get().partitionId()
         for batch in batches:
-            for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for doc_id, ids in zip(batch.column(0).to_pylist(), bpe.encode_all(texts)):
                 if out is None:
                     name = f"ids-{shard:06d}-{uuid.uuid4().hex}.zst"
                     files, path = _open(target)
                     files.create_dir(path, recursive=True)
                     out = Writer(files.open_output_stream(f"{path}/{name}", compression=None))
-                out.add(doc_id, bpe.encode(value or "") + end)
+                out.add(doc_id, ids + end)
         if out is not None:
             out.close()
             yield pa.RecordBatch.from_pydict(
                 {"shard": pa.array([shard], pa.int32()), "file": [name], "n_docs": [len(out.docs)], "n_ids": [out.n_ids]}
             )
 
-    ordered = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).orderBy("k", "t")
+    keyed = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"), F.substring(text, 1, RANGE_CHARS).alias("h"))
+    ordered = keyed.repartitionByRange("k", "h").sortWithinPartitions("k", "t").select("k", "t")
     manifest = f"{target}/manifest"
     ordered.mapInArrow(encode, MANIFEST).write.parquet(manifest)
     return spark.read.schema(MANIFEST).parquet(manifest)
