@@ -9,6 +9,7 @@ from larder.functions.facets import main_text, tag_language, tag_name
 from larder.operators import analysis
 from larder.operators.taxonomy import ancestors, deepest_tags, lookup_tags
 from larder.session import scratch_path
+from larder.sources.clustered import look_up, write_clustered
 
 catalog = Catalog()
 
@@ -76,6 +77,20 @@ def point_lookup(spark, sf):
     )
 
 
+@catalog.query("""
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders
+    WHERE o_orderkey IN (SELECT max(o_orderkey) // d FROM orders, range(1, 6) t(d) GROUP BY d)
+""")
+def clustered_lookup(spark, sf):
+    """Orders laid out by key, and a few of them found again through the index of key ranges."""
+    orders = table(spark, sf, "orders")
+    target = scratch_path(spark, "orders")
+    write_clustered(orders, target, "o_orderkey", files=8)
+    last = orders.agg(F.max("o_orderkey")).head()[0]
+    found = look_up(spark, target, "o_orderkey", sorted({last // d for d in range(1, 6)}))
+    return found.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+
+
 @catalog.query("""
     SELECT count(*) AS n FROM (
         SELECT CAST(round(l_discount * 100) AS INTEGER) AS known, CAST(round(l_tax * 100) AS INTEGER) AS unknown

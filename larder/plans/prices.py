@@ -32,6 +32,7 @@ from larder.schemas import (
     ddl,
     price_schema,
 )
+from larder.sources.clustered import row_groups
 from larder.sources.files import delete_path, read_lines, staging_path, write_parquet
 from larder.sources.outcomes import GOOD, ExportReport, Outcomes, counted
 
@@ -162,7 +163,7 @@ def export_prices(
             strict(prices, "price"), strict(proofs, "proof"), strict(locations, "location")
         )
         rows, seen = counted(flat.withColumn("_errors", F.expr("CAST(array() AS ARRAY<STRING>)")), [])
-        write_parquet(rows.drop("_errors"), target, schema)
+        write_parquet(rows.drop("_errors"), target, schema, **row_groups())
         return ExportReport.of(seen.get)
     fine = F.size("_errors") == 0
     keys = {"_no_proof": "unknown proof_id", "_no_location": "unknown location_id"}
@@ -175,7 +176,7 @@ def export_prices(
     try:
         # One write of all prices; the good ones are not touched again.
         out = Outcomes(spark, staged, schema, "product_code")
-        out.write(wide.withColumns({"outcome": F.when(fine, GOOD).otherwise("refused"), "note": note}))
+        out.write(wide.withColumns({"outcome": F.when(fine, GOOD).otherwise("refused"), "note": note}), **row_groups())
         counts = seen.get
         refused = out.read("refused", "errors ARRAY<STRING>, line STRING").select(
             F.lit("price").alias("record"), F.col("note.errors").alias("errors"), F.col("note.line").alias("line")

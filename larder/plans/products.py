@@ -44,6 +44,7 @@ from larder.operators.language import language_list, language_members, language_
 from larder.operators.members import category_codes, owner_fields, packagings
 from larder.operators.nutriments import nutrients, nutrients_misfit
 from larder.schemas import LANGUAGE_FIELDS, product_schema
+from larder.sources.clustered import row_groups
 from larder.sources.files import (
     delete_path,
     in_schema,
@@ -274,6 +275,7 @@ def export_products(
     Refused rows go to ``quarantine_target`` when given.  Whole numbers too large
     for their column refuse the row, or stop the export with
     ``on_overflow="fail"``.  Rows are counted in the pass that writes them.
+    Row groups are bounded and hold a Bloom filter on ``code``.
     Every row is written once, except those refused or with a deeply nested
     ingredient list.
     """
@@ -286,7 +288,7 @@ def export_products(
     stage = staging_path(target)
     try:
         first, second = (Outcomes(spark, f"{stage}/{part}", schema, "code") for part in ("first", "second"))
-        first.write(by_outcome(rows))
+        first.write(by_outcome(rows), **row_groups(bloom="code"))
         counts = seen.get
         if on_overflow == "fail" and any(counts[name] for name in whole):
             bad = first.read("refused", NOTE).unionByName(first.read("deep", NOTE))
@@ -298,7 +300,7 @@ def export_products(
             late = F.when(F.col("ingredients").isNull(), F.array(F.lit("ingredients"))).otherwise(F.expr("CAST(array() AS ARRAY<STRING>)"))
             deep = deep.withColumns({"_errors": F.concat("note.errors", late), "line": F.col("note.line"), "_deep": F.lit(None).cast("string")})
             deep, seen = counted(deep, ["ingredients"], F.col("ingredients").isNull() & (F.size("note.errors") == 0))
-            second.write(by_outcome(deep))
+            second.write(by_outcome(deep), **row_groups(bloom="code"))
             counts = {name: n + seen.get.get(name, 0) * (name != "read") for name, n in counts.items()}
             refused.append(second.read("refused", NOTE))
         first.commit(target, second)

@@ -149,11 +149,11 @@ def in_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.to(schema)
 
 
-def write_parquet(df: DataFrame, target: str, schema: T.StructType | None = None) -> None:
+def write_parquet(df: DataFrame, target: str, schema: T.StructType | None = None, **options: str) -> None:
     """Write to a staging folder, then move over the target."""
     spark = df.sparkSession
     staged = staging_path(target)
-    (in_schema(df, schema) if schema else df).write.parquet(staged)
+    (in_schema(df, schema) if schema else df).write.options(**options).parquet(staged)
     move_into_place(spark, staged, target)
 
 

@@ -50,12 +50,12 @@ class Outcomes:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, carrier: str):
         self.spark, self.path, self.schema, self.carrier = spark, path, schema, carrier
 
-    def write(self, rows: DataFrame) -> None:
+    def write(self, rows: DataFrame, **options: str) -> None:
         """``rows`` hold the schema's columns, ``outcome`` and ``note`` (a struct, of rows that are not good)."""
         note = F.to_json(F.struct(F.col(self.carrier).alias("value"), F.col("note")), {"ignoreNullFields": "true"})
         carried = F.when(F.col("outcome") == GOOD, F.col(self.carrier)).otherwise(note)
         columns = [(carried if f.name == self.carrier else F.col(f.name)).cast(f.dataType).alias(f.name) for f in self.schema]
-        rows.select(*columns, "outcome").write.partitionBy("outcome").parquet(self.path)
+        rows.select(*columns, "outcome").write.options(**options).partitionBy("outcome").parquet(self.path)
 
     def has(self, outcome: str) -> bool:
         return f"outcome={outcome}" in child_names(self.spark, self.path)
