@@ -10,7 +10,7 @@ file; one that knows the tables unpacks only the frames of the documents asked f
 from __future__ import annotations
 
 import functools
-import os
+import operator
 import re
 import string
 import struct
@@ -45,99 +45,89 @@ _INDEX = np.dtype([("doc_id", "<i8"), ("has_id", "u1"), ("start", "<u8"), ("n",
 
 _TWO_SPACES = re.compile(r"\s\s")
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-ENCODED_AT_ONCE = 10_000  # new pieces handed to the tokenizer in one call
+_ID = operator.attrgetter("id")
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+")
 
 
-class _Slot:
-    """Stands for the ids of a piece until they are known: those of ``core`` and then ``marks``, if it has one."""
-
-    __slots__ = ("ids", "core", "marks")
-
-    def __init__(self, core=None, marks: bytes = b""):
-        self.ids, self.core, self.marks = None, core, marks
+def _byte_names() -> dict[int, str]:
+    """How byte-level vocabularies spell bytes: printable ones as themselves, others as the next free characters."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = (b for b in range(256) if b not in shown)
+    return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(hidden)}
 
 
 class _Pieces(Memo):
-    """Ids of text pieces, as bytes or in a slot that the encoder fills later.
+    """Ids of text pieces, as bytes, filled from the tokenizer on demand.
 
     The tokenizer splits before it merges: a lone space opens a new part, a lone
     line feed is a part, and marks after a letter open one.  So pieces cut there
-    can be encoded apart from their surroundings.  ``cut`` are the marks that no
-    special token of the tokenizer holds.
+    can be encoded apart from their surroundings, and one of letters only is a
+    part, which goes straight to the merges.  ``cut`` are the marks that no special
+    token of the tokenizer holds.
     """
 
-    def __init__(self, encode, pending: list, joined: list, cut: str, lead: str = ""):
+    def __init__(self, encode, merge, cut: str, lead: str = ""):
         super().__init__(CACHED_PIECES)
-        self.encode, self.pending, self.joined, self.cut, self.lead = encode, pending, joined, cut, lead
+        self.encode, self.merge, self.cut, self.lead = encode, merge, cut, lead
         self.marks: dict[str, bytes] = {}
 
-    def make(self, piece: str) -> _Slot:
+    def make(self, piece: str) -> bytes:
+        if _LETTERS.fullmatch(piece):
+            return self.merge(self.lead + piece)
         core = piece.rstrip(self.cut)
         if core == piece or not core or not core[-1].isalpha():
-            slot = _Slot()
-            self.pending.append((self.lead + piece, slot))
-            return slot
+            return self.encode(self.lead + piece)
         marks = piece[len(core):]
-        ids = self.marks.get(marks) or self.encode(marks)
-        if len(marks) <= 3:
-            self.marks[marks] = ids
-        slot = _Slot(self[core], ids)
-        self.joined.append(slot)
-        return slot
+        if marks not in self.marks:
+            if len(marks) > 3:
+                return self[core] + self.encode(marks)
+            self.marks[marks] = self.encode(marks)
+        return self[core] + self.marks[marks]
 
 
 class Encoder:
-    """``encode_all(texts)`` gives exactly what the tokenizers library gives, as little-endian uint32 bytes."""
+    """``encode(text)`` gives exactly what the tokenizers library gives, as little-endian uint32 bytes."""
+
+    # Encoded both ways at the start; a tokenizer that splits in another way encodes whole texts.
+    PROBES = ("The été of 3.14 don't, we'll -- see:\nLine (two)...  x\t\u00a0y", " Ärger\n\nb1a2 C_d e-f", "a'b 'tis '' \"q\"! ###")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        self.pending: list[tuple[str, _Slot]] = []
-        self.joined: list[_Slot] = []
+        self.model, self.names = self.tokenizer.model, str.maketrans({chr(b): name for b, name in _byte_names().items()})
+        self.space = " ".translate(self.names)
         special = "".join(token.content for token in self.tokenizer.get_added_tokens_decoder().values())
         cut = "".join(mark for mark in string.punctuation if mark not in special)
-        self.first = _Pieces(self._one, self.pending, self.joined, cut)
-        self.later = _Pieces(self._one, self.pending, self.joined, cut, " ")
-        self.line_feed = self._one("\n")
+        self.first, self.later = _Pieces(self._whole, self._merged, cut), _Pieces(self._whole, self._merged, cut, " ")
+        self.line_feed = self._whole("\n")
+        if any(self.encode(text) != self._whole(text) for text in self.PROBES):
+            self.encode = self._whole
 
-    def _one(self, text: str) -> bytes:
+    def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _parts(self, text: str) -> list:
+    def _merged(self, part: str) -> bytes:
+        if part.isascii():  # letters, with a space before them or not
+            spelled = part if part[0] != " " else self.space + part[1:]
+        else:
+            spelled = part.encode().decode("latin-1").translate(self.names)
+        return array("I", map(_ID, self.model.tokenize(spelled))).tobytes()
+
+    def encode(self, text: str) -> bytes:
+        if not text:
+            return b""
         if _TWO_SPACES.search(text):  # runs of white space stay inside pieces
             first, *later = _LONE_SPACE.split(text)
-            return [self.first[first], *map(self.later.__getitem__, later)]
-        parts = []
+            return self.first[first] + b"".join(map(self.later.__getitem__, later))
+        parts: list[bytes] = []
         for line in text.split("\n"):
             if parts:
                 parts.append(self.line_feed)
             first, *later = line.split(" ")
             parts.append(self.first[first] if first else b"")
             parts.extend(map(self.later.__getitem__, later))
-        return parts
-
-    def _fill(self) -> None:
-        """Encode the pieces met for the first time, many per call."""
-        for at in range(0, len(self.pending), ENCODED_AT_ONCE):
-            lot = self.pending[at : at + ENCODED_AT_ONCE]
-            found = self.tokenizer.encode_batch_fast([text for text, _ in lot], add_special_tokens=False)
-            for (_, slot), encoding in zip(lot, found):
-                slot.ids = array("I", encoding.ids).tobytes()
-        for slot in self.joined:  # a core comes before what is joined to it
-            core = slot.core
-            slot.ids = (core if core.__class__ is bytes else core.ids) + slot.marks
-        self.pending.clear()
-        self.joined.clear()
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        parts = [self._parts(text) if text else [] for text in texts]
-        self._fill()
-        return [b"".join([p if p.__class__ is bytes else p.ids for p in some]) for some in parts]
-
-    def encode(self, text: str) -> bytes:
-        return self.encode_all([text])[0]
+        return b"".join(parts)
 
 
 @functools.cache
@@ -277,14 +267,13 @@ def write_token_files(docs: DataFrame, target: str, tokenizer: str, end_id: int
         bpe, end = encoder(tokenizer), struct.pack("<I", end_id)
         out, name, shard = None, "", TaskContext.get().partitionId()
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for doc_id, ids in zip(batch.column(0).to_pylist(), bpe.encode_all(texts)):
+            for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if out is None:
                     name = f"ids-{shard:06d}-{uuid.uuid4().hex}.zst"
                     files, path = _open(target)
                     files.create_dir(path, recursive=True)
                     out = Writer(files.open_output_stream(f"{path}/{name}", compression=None))
-                out.add(doc_id, ids + end)
+                out.add(doc_id, bpe.encode(value or "") + end)
         if out is not None:
             out.close()
             yield pa.RecordBatch.from_pydict(
