@@ -41,6 +41,17 @@ class Memo(dict):
         return value
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names``, lengthened where ``df`` has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        found.append(name)
+    return found
+
+
 def tune(spark: SparkSession) -> SparkSession:
     configure(spark)
     for key, value in ARROW_CONF.items():

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larder.llm.common import unused
 from larder.session import scratch_path
 
 HASH_BITS = 52  # bits of the hash that make the uniform number
@@ -83,18 +84,20 @@ def replicate(
     a text; were there very many sources, the join would shuffle and adaptive
     execution would split the hot ones.
     """
+    docs = docs.drop("mix_copy", "mix_key")
+    own, steps, name, u, n = unused(docs, "_source", "_distribution", "_identity", "_u", "_count")
     path = scratch_path(docs.sparkSession, "rates")
     source_rates(docs, targets, temper, epochs, source, text).select(
-        F.col("source").alias("_source"), F.col("distribution").alias("_distribution")
+        F.col("source").alias(own), F.col("distribution").alias(steps)
     ).write.parquet(path)
     rates = docs.sparkSession.read.parquet(path)
     identity = F.coalesce(F.col(key).cast("string"), F.md5(F.coalesce(F.col(text), F.lit(""))))
-    drawn = docs.drop("mix_copy", "mix_key").withColumn("_identity", identity)
-    drawn = drawn.join(rates, F.col(source).eqNullSafe(F.col("_source")), "left").withColumn("_u", _uniform(F.lit(str(seed)), F.col("_identity")))
-    count = F.size(F.filter("_distribution", lambda upto: upto <= F.col("_u")))
-    copies = drawn.withColumn("_count", count).where("_count > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("_count"))))
-    spot = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("_identity"), F.col("mix_copy"))), 1, 15), 16, 10).cast("long")
-    return copies.withColumn("mix_key", spot).drop("_identity", "_source", "_distribution", "_u", "_count").orderBy("mix_key", key, "mix_copy")
+    drawn = docs.withColumn(name, identity)
+    drawn = drawn.join(rates, F.col(source).eqNullSafe(F.col(own)), "left").withColumn(u, _uniform(F.lit(str(seed)), F.col(name)))
+    count = F.size(F.filter(steps, lambda upto: upto <= F.col(u)))
+    copies = drawn.withColumn(n, count).where(F.col(n) > 0).withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col(n))))
+    spot = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(name), F.col("mix_copy"))), 1, 15), 16, 10).cast("long")
+    return copies.withColumn("mix_key", spot).drop(name, own, steps, u, n).orderBy("mix_key", key, "mix_copy")
 
 
 def replicate_sql(table: str = "documents", temper: float = 0.5, epochs: float = 1.0, seed: int = 17, columns: str = "d.*") -> str:

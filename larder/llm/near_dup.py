@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import map_columns
+from larder.llm.common import map_columns, unused
 from larder.llm.graph import connected_components
 from larder.session import scratch_path
 
@@ -341,10 +341,11 @@ def keep_one(docs: DataFrame, size: int = 5, threshold: tuple[int, int] = (80, 1
     A repeated row (same id, same text) stays once; rows without an id all stay.  Of
     several texts under one id each stays or goes by itself.
     """
-    gone = _placed(docs, size, threshold, hashed=True).where("not kept").select("doc_id", F.col("text_hash").alias("_hash")).distinct()
-    left = docs.withColumn("_hash", F.xxhash64("text")).join(gone, ["doc_id", "_hash"], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    digest, row = unused(docs, "_hash", "_row")
+    gone = _placed(docs, size, threshold, hashed=True).where("not kept").select("doc_id", F.col("text_hash").alias(digest)).distinct()
+    left = docs.withColumn(digest, F.xxhash64("text")).join(gone, ["doc_id", digest], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
     mark = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).otherwise(F.xxhash64("text"))
-    return left.withColumn("_row", mark).dropDuplicates(["doc_id", "_row"]).drop("_row")
+    return left.withColumn(row, mark).dropDuplicates(["doc_id", row]).drop(row)
 
 
 def _texts_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
