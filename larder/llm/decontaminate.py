@@ -72,10 +72,11 @@ def reach(words: list[bytes], others: list[bytes]) -> int:
 class Index:
     """Seeds of one block of items."""
 
-    def __init__(self, items: list[tuple[int, str]]):
-        self.items = {k: words_of(text) for k, text in items}
+    def __init__(self, items: list[tuple[int | None, str]]):
+        self.ids = [item_id for item_id, _ in items]
+        self.items = [words_of(text) for _, text in items]
         self.owners: dict[tuple, list[int]] = defaultdict(list)
-        for k, words in self.items.items():
+        for k, words in enumerate(self.items):
             for seed in set(seeds_of(words)):
                 self.owners[seed].append(k)
         self.names = {seed: n for n, seed in enumerate(self.owners)}
@@ -113,7 +114,7 @@ class Index:
                 best = max(best, (s, n, -(low + start), low + end))
             share = best[0] / whole
             if share >= SCORE:
-                yield k, share, best[1], -best[2], best[3]
+                yield self.ids[k], share, best[1], -best[2], best[3]
 
 
 def _stretches(places: list[int], reach: int) -> Iterator[tuple[int, int]]:
@@ -127,9 +128,9 @@ def _stretches(places: list[int], reach: int) -> Iterator[tuple[int, int]]:
     yield first, last
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[int, str]]]:
+def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[int | None, str]]]:
     block, size = [], 0
-    rows = benchmark.where("item_id is not null and text is not null").select("item_id", "text").distinct().orderBy("item_id", "text")
+    rows = benchmark.where("text is not null").select("item_id", "text").distinct().orderBy("item_id", "text")
     for row in rows.toLocalIterator():
         block.append((row["item_id"], row["text"]))
         size += len(row["text"])
@@ -173,9 +174,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK
     block takes two narrow passes over the texts, one to count its seeds and one
     to align.  Nothing but seed counts is shuffled.  A copy is found if it has three
     words in a row as the item has them, however many texts hold them.  Items of fewer than three
-    words, null items and null texts take no part; of several texts under one
-    item id the last counts; repeated rows of ``docs`` are reported as often as
-    they occur, null ids with a null id.
+    words and null texts take no part; every text under one item id is an item of its
+    own, and so are those without an id, reported with a null one; repeated items
+    count once; repeated rows of ``docs`` are reported as often as they occur, null
+    ids with a null id.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, item_id long, score double, n_matched int, first_word long, end_word long"
