@@ -260,3 +260,40 @@ def test_checksums_move(length):
     front, rest = rng.randbytes(9), rng.randbytes(length)
     moved = importance.Shifts().over(np.array([zlib.crc32(front)], np.uint32), np.array([length]))
     assert int(moved[0]) ^ zlib.crc32(rest) == zlib.crc32(front + rest)
+
+
+# --- stages and clashing names ----------------------------------------------------
+
+
+def test_stages_keep_clashing_columns(spark):
+    """Columns named like what the stages use inside come back as they were."""
+    from larder.llm import decontaminate, mixing, near_dup, toxicity
+
+    names = ["_hash", "_row", "_source", "_distribution", "_count", "_u", "_identity", "_key", "_found", "_HASH_"]
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice(["la", "mo", "ri", "ten", "su"]) + str(rng.randint(0, 99)) for _ in range(30)), "s", *[f"{n}{i}" for n in names]) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names))
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(30)], "doc_id long, quality int, toxic int")
+    items = spark.createDataFrame([(1, "nothing of this is in any of the documents at hand")], "item_id long, text string")
+    stages = [
+        near_dup.keep_one(docs), mixing.replicate(docs, epochs=1.0).drop("mix_copy", "mix_key"),
+        decontaminate.keep_uncontaminated(docs, items), toxicity.keep_clean(docs, toxicity.train(docs, labels)),
+    ]
+    for k, frame in enumerate(stages):
+        assert frame.columns == docs.columns
+        got = set(map(tuple, frame.collect()))
+        assert got <= set(rows) and (k not in (0, 2) or got == set(rows))
+
+
+@pytest.mark.parametrize("block_bytes", [10, 200, 1 << 20])
+def test_items_are_told_apart_by_text(spark, block_bytes):
+    """Several texts under one item id, and items without an id, are all searched, whatever the blocks hold."""
+    from larder.llm import decontaminate
+
+    rng = random.Random(6)
+    items = [" ".join(f"w{rng.randint(0, 9999)}" for _ in range(20)) for _ in range(5)]
+    table = spark.createDataFrame([(7, items[0]), (7, items[1]), (None, items[2]), (None, items[3]), (7, items[0]), (8, None)], "item_id long, text string")
+    docs = spark.createDataFrame([(k, f"before {t} after") for k, t in enumerate(items)], "doc_id long, text string")
+    found = decontaminate.contaminated(docs, table, block_bytes).collect()
+    assert sorted((r.doc_id, r.item_id or 0) for r in found) == [(0, 7), (1, 7), (2, 0), (3, 0)]
+    assert [r.doc_id for r in decontaminate.keep_uncontaminated(docs, table, block_bytes).collect()] == [4]
