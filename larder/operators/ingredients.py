@@ -153,7 +153,7 @@ def _deep_text(text: str | None) -> str | None:
         return None
     try:
         return "[" + ",".join(map(_render, json.loads(text))) + "]"
-    except ValueError:
+    except (ValueError, RecursionError):  # beyond what can be nested, as for what does not fit, the row is refused
         return None
 
 

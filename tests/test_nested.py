@@ -303,3 +303,12 @@ def test_category_codes(spark, doc, expected):
         assert codes is None
     else:
         assert codes["ciqual_food_code"] == (None if expected == "null" else expected)
+
+
+@pytest.mark.parametrize("depth, fits", [(200, True), (5000, False)])
+def test_deeper_than_python_nests(depth, fits):
+    """A list nested beyond the interpreter's stack refuses its row instead of ending the job."""
+    from larder.operators.ingredients import _deep_text
+
+    text = '[{"text":"a","ingredients":' * depth + "[]" + "}]" * depth
+    assert (_deep_text(text) is not None) == fits
