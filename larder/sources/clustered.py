@@ -22,7 +22,11 @@ def row_groups(rows: int = ROW_GROUP_ROWS, bloom: str | None = None) -> dict[str
     """Options of a Parquet write: rows per group at most, and a column with a Bloom filter."""
     options = {"parquet.block.row.count.limit": str(rows)}
     if bloom:
-        options |= {f"parquet.bloom.filter.enabled#{bloom}": "true", f"parquet.bloom.filter.expected.ndv#{bloom}": str(rows)}
+        # Adaptive: of ten sizes, the least that suits the keys a row group turns out to have.
+        options |= {
+            f"parquet.bloom.filter.enabled#{bloom}": "true", "parquet.bloom.filter.adaptive.enabled": "true",
+            f"parquet.bloom.filter.candidates.number#{bloom}": "10",
+        }
     return options
 
 
