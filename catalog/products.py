@@ -379,7 +379,7 @@ _FLAT_NUTRIENTS = (
 def nutriment_pivot(spark, sf):
     """Flat keys of every line item pivoted; a key with two suffixes fills two nutrients."""
     docs = spread_table(spark, sf, "lineitem").selectExpr(_FLAT_NUTRIENTS + " AS t")
-    rows = exploded(docs, [], nutriments.pivot_suffixes("t"), "n").select("n.*")
+    rows = exploded(nutriments.pivoted(docs, "t", "p"), [], "p", "n").select("n.*")
 
     def cents(column: str):
         return F.sum(F.round(F.col(column).cast("double") * 100).cast("bigint"))
@@ -453,7 +453,7 @@ _PART_NUTRIENTS = (
 
 def _part_nutrients(spark, sf):
     docs = table(spark, sf, "part").selectExpr("p_partkey", f"{_PART_NUTRIENTS} AS t")
-    return docs.select("p_partkey", pinned(nutriments.pivot_suffixes("t")).alias("n"))
+    return nutriments.pivoted(docs, "t", "n").select("p_partkey", "n")
 
 
 @catalog.query("""

@@ -2,6 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import re
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 from larder.functions.variants import (
     JSON_OPTIONS,
     as_list,
@@ -13,6 +21,7 @@ from larder.functions.variants import (
     misfit,
     nothing,
     object_entries,
+    pinned,
     to_float,
     to_str,
 )
@@ -135,6 +144,139 @@ def pivot_suffixes(text: str) -> str:
     )
 
 
+# --- the same pivot, batch by batch --------------------------------------------------
+
+_SLOT_TYPES = [(slot, pa.string() if slot.endswith("unit") else pa.float32()) for slot in SLOTS]
+_NUTRIENT = pa.struct([pa.field("name", pa.string()), *[pa.field(slot, kind) for slot, kind in _SLOT_TYPES]])
+_NUMBER_TEXT = re.compile(r"[+-]?[0-9]{1,15}(\.[0-9]{1,15})?", re.ASCII)
+_LONG_NUMBER = re.compile(r"[0-9.]{300}", re.ASCII)
+_MOST_TEXT, _MOST_KEYS = 1 << 20, 1 << 17  # longer documents go to the expression; keys remembered in plans
+
+
+class _Odd(Exception):
+    """The document is left to the expression."""
+
+
+def _odd(value):
+    raise _Odd
+
+
+_SCAN = json.JSONDecoder(parse_constant=_odd).scan_once
+_PLANS: dict[tuple[str, ...], tuple[list[str], list[tuple[int, ...]]]] = {}
+_planned = 0
+
+
+def _hits(key: str) -> list[tuple[str, int, bool]]:
+    """(name, slot number, whether it is a unit) per suffix hit of a key."""
+    found = []
+    for suffix, slot in SUFFIXES:
+        if key.endswith(suffix):
+            key = key.replace(suffix, "")
+            key.encode()  # half a surrogate pair is no text
+            found.append((key, SLOTS.index(slot), slot.endswith("unit")))
+    return found
+
+
+def _plan(keys: tuple[str, ...]) -> tuple[list[str], list[tuple[int, ...]]]:
+    """Names of a document with these keys, and the cells each key fills (~cell for a unit)."""
+    global _planned
+    if _planned > _MOST_KEYS:
+        _PLANS.clear()
+        _planned = 0
+    names: dict[str, int] = {}
+    cells = []
+    for key in keys:
+        spots = [(names.setdefault(name, len(names)) * len(SLOTS) + slot, unit) for name, slot, unit in _hits(key)]
+        cells.append(tuple(~at if unit else at for at, unit in spots))
+    _planned += len(keys)
+    _PLANS[keys] = list(names), cells
+    return _PLANS[keys]
+
+
+def _plain_cells(text: str) -> tuple[list[str], list]:
+    """Names, and the slots of each in a row, of a document whose values leave no question; any other raises."""
+    # Lists, inner objects and -0 are rare here.
+    if len(text) > _MOST_TEXT or "[" in text or "-0" in text or text.find("{", 1) > 0:
+        raise _Odd
+    if len(text) > 300 and _LONG_NUMBER.search(text):
+        raise _Odd
+    doc, end = _SCAN(text, 0)
+    if end != len(text) or type(doc) is not dict or not doc:
+        raise _Odd
+    keys = tuple(doc)
+    names, places = _PLANS.get(keys) or _plan(keys)
+    cells = [None] * (len(names) * len(SLOTS))
+    for value, spots in zip(doc.values(), places):
+        kind = type(value)
+        if kind is int:
+            if not -(10**18) < value < 10**18:
+                raise _Odd
+            number = float(value)
+        elif kind is float:
+            if not -1e300 < value < 1e300:
+                raise _Odd
+            number = value
+        elif kind is not str and value is not None:
+            raise _Odd
+        for at in spots:
+            if at < 0:
+                if kind is str:
+                    value.isascii() or value.encode()
+                elif value is not None:
+                    raise _Odd
+                cells[~at] = value
+            elif kind is str:
+                if not _NUMBER_TEXT.fullmatch(value):
+                    raise _Odd
+                cells[at] = float(value)
+            else:
+                cells[at] = None if value is None else number
+    return names, cells
+
+
+_SPARK_NUTRIENT = T.StructType([
+    T.StructField("name", T.StringType()),
+    *[T.StructField(slot, T.StringType() if slot.endswith("unit") else T.FloatType()) for slot in SLOTS],
+])
+
+
+@F.arrow_udf(T.StructType([T.StructField("plain", T.BooleanType()), T.StructField("n", T.ArrayType(_SPARK_NUTRIENT))]))
+def _pivot_plain(texts: pa.Array) -> pa.Array:
+    plain, ends, names, cells = [], [0], [], []
+    for text in texts.to_pylist():
+        fits = text is not None
+        if fits:
+            try:
+                some, filled = _plain_cells(text)
+                names += some
+                cells += filled
+            except (_Odd, ValueError, StopIteration, RecursionError):
+                fits = False
+        plain.append(fits)
+        ends.append(len(names))
+    arrays = []
+    for i, (_, kind) in enumerate(_SLOT_TYPES):
+        column = cells[i :: len(SLOTS)]
+        arrays.append(pa.array(column, kind) if kind == pa.string() else pa.array(column, pa.float64()).cast(kind, safe=False))
+    structs = pa.StructArray.from_arrays([pa.array(names, pa.string()), *arrays], fields=list(_NUTRIENT))
+    nutrients = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), structs)
+    return pa.StructArray.from_arrays([pa.array(plain, pa.bool_()), nutrients], ["plain", "n"])
+
+
+def pivoted(df: DataFrame, text: str, name: str) -> DataFrame:
+    """``df`` with the column ``name``: what ``pivot_suffixes`` gives for the text column ``text``.
+
+    A lambda of the expression is interpreted node by node, which costs most of
+    its time.  Documents of plain numbers, texts and nulls, nearly all of them,
+    are pivoted in Arrow batches instead; the others are left to the expression.
+    """
+    # Bytes that are no text would stop the batch.
+    tried = df.withColumn("_plain", _pivot_plain(F.expr(f"CASE WHEN is_valid_utf8(`{text}`) THEN `{text}` END")))
+    return tried.withColumn(
+        name, pinned(f"CASE WHEN _plain.plain THEN _plain.n ELSE {pivot_suffixes(f'`{text}`')} END")
+    ).drop("_plain")
+
+
 def aggregated_nutrients(text: str) -> str:
     """``nutrition`` text to nutrient structs, or NULL without an aggregated set.
 

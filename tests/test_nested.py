@@ -125,6 +125,20 @@ def test_pivot_edges(spark):
     assert pivot(spark, [1]) == [None]
 
 
+def test_pivot_in_batches(spark):
+    """Plain documents are pivoted outside the expression, the others by it; nothing differs."""
+    values = ["1", "-0", "-2.5e-3", "1e400", "12345678901234567890", "16777217", '"1.50"', '" 5 "', '"much"', "null", "true", "[1]", "01"]
+    keys = ["salt_100g", "x_100g_value", "x_prepared_prepared_100g", "_serving", "salt_unit", "salt"]
+    texts = [f'{{"salt_value":2,"{k}":{v},"salt_prepared_unit":"g"}}' for k in keys for v in values]
+    texts += [None, "", "{}", "{ }", "null", "[1]", '{"a_100g":1} x', '{"a_100g":1,"a_100g":2}', '{"a_unit":"\\ud800"}', '{"a_unit":"\u00e9"}']
+    docs = spark.createDataFrame(list(enumerate(texts)), "i INT, t STRING")
+    rows = nutriments.pivoted(docs, "t", "n").withColumn("e", F.expr(nutriments.pivot_suffixes("t"))).collect()
+    assert {r.t: repr(r.n) for r in rows} == {r.t: repr(r.e) for r in rows}
+    assert len(rows) == len(texts)
+    plain = docs.filter(nutriments._pivot_plain("t")["plain"]).count()
+    assert 20 < plain < len(texts)
+
+
 # Key, then the (nutrient, slot) pairs it fills, written out by hand.
 PIVOT_KEYS = {
     "zinc_value": [("zinc", "value")],
