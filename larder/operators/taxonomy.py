@@ -12,10 +12,15 @@ from larder.session import scratch_path
 
 
 def lookup_tags(tagged: DataFrame, nodes: DataFrame, lang: str, tag: str = "tag") -> DataFrame:
-    """Name, synonyms and properties of each tag; ``in_taxonomy`` flags unknown tags."""
+    """Name, synonyms and properties of each tag; ``in_taxonomy`` flags unknown tags.
+
+    A hash table per partition of ``nodes``: broadcast, they would all sit in
+    every task, as text a hundred times their compressed size, and a merge would
+    sort all rows of a common tag in one task.
+    """
     known = nodes.filter(F.col("lang") == lang).select(
         F.col("id").alias("_id"), "name", "synonyms", "properties"
-    )
+    ).hint("shuffle_hash")
     return (
         tagged.join(known, F.col(tag) == F.col("_id"), "left")
         .withColumn("in_taxonomy", F.col("_id").isNotNull())

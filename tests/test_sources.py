@@ -102,3 +102,14 @@ def test_folders_and_globs_of_compressed_files(spark, tmp_path):
         assert lines.count() == 100 and lines.rdd.getNumPartitions() > 2
     with pytest.raises(FileNotFoundError):
         files.read_lines(spark, f"{tmp_path}/none-*.gz")
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tags_are_looked_up_in_hash_tables_by_partition(spark):
+    nodes = spark.createDataFrame([("a", "en", "A", ["A"], {"k": "v"}), ("a", "fr", "B", ["B"], {})], "id STRING, lang STRING, name STRING, synonyms ARRAY<STRING>, properties MAP<STRING,STRING>")
+    found = lookup_tags(spark.createDataFrame([(1, "a"), (2, "x"), (3, None)], "k INT, tag STRING"), nodes, "en")
+    assert {(r.k, r.name, r.in_taxonomy) for r in found.collect()} == {(1, "A", True), (2, None, False), (3, None, False)}
+    assert "ShuffledHashJoin" in _plan(found) and "SortMergeJoin" not in _plan(found) and "BroadcastHashJoin" not in _plan(found)
