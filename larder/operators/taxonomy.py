@@ -57,13 +57,24 @@ def ancestors(edges: DataFrame) -> DataFrame:
 
 
 def deepest_tags(tagged: DataFrame, nodes: DataFrame, pairs: DataFrame, key: str, tag: str = "tag") -> DataFrame:
-    """Tags of each ``key`` that are in the taxonomy and no ancestor of another of its tags."""
-    ids = nodes.select(F.col("id").alias("_id")).distinct()
-    known = tagged.select(key, tag).distinct().join(ids, F.col(tag) == F.col("_id"), "left_semi")
-    covered = (
-        known.join(pairs.select("node", "ancestor"), F.col(tag) == F.col("node"))
-        .filter(F.col("ancestor") != F.col(tag))
-        .select(key, F.col("ancestor").alias(tag))
-        .distinct()
+    """Tags of each ``key`` that are in the taxonomy and no ancestor of another of its tags.
+
+    One join gives a row for each known tag and one for each of its ancestors,
+    and one grouping by key and tag tells which tags are only the former.  The
+    rows of a common tag pass through a hash table without being sorted or held;
+    rows without a key cover nothing.
+    """
+    ids = nodes.select(F.col("id").alias("node")).distinct()
+    above = pairs.filter("ancestor <> node").select("node", "ancestor").join(ids.hint("shuffle_hash"), "node", "left_semi")
+    reached = ids.select("node", F.col("node").alias("_tag"), F.lit(False).alias("_covered")).unionByName(
+        above.select("node", F.col("ancestor").alias("_tag"), F.lit(True).alias("_covered"))
+    )
+    rows = (
+        tagged.select(key, tag)
+        .join(reached.hint("shuffle_hash"), F.col(tag) == F.col("node"))
+        .filter(~F.col("_covered") | F.col(key).isNotNull())
+        .select(key, F.col("_tag").alias(tag), "_covered")
     )
-    return known.join(covered, [key, tag], "left_anti")
+    # Dealt first, so that nothing is grouped where the rows of a common tag meet.
+    tags = rows.repartition(key, tag).groupBy(key, tag).agg(F.max("_covered").alias("_covered"))
+    return tags.filter(~F.col("_covered")).select(key, tag)

@@ -113,3 +113,13 @@ def test_tags_are_looked_up_in_hash_tables_by_partition(spark):
     found = lookup_tags(spark.createDataFrame([(1, "a"), (2, "x"), (3, None)], "k INT, tag STRING"), nodes, "en")
     assert {(r.k, r.name, r.in_taxonomy) for r in found.collect()} == {(1, "A", True), (2, None, False), (3, None, False)}
     assert "ShuffledHashJoin" in _plan(found) and "SortMergeJoin" not in _plan(found) and "BroadcastHashJoin" not in _plan(found)
+
+
+def test_deepest_tags_of_odd_rows(spark):
+    """Rows repeat, keys are null, a cycle and a node outside the taxonomy cover nothing; no join sorts or broadcasts."""
+    nodes = spark.createDataFrame([("a",), ("a",), ("b",), ("c",)], "id STRING")
+    pairs = spark.createDataFrame([("a", "b"), ("a", "b"), ("b", "b"), ("out", "c"), ("a", None)], "node STRING, ancestor STRING")
+    rows = [(1, "a"), (1, "a"), (1, "b"), (1, "out"), (1, "c"), (None, "a"), (None, "b"), (None, "b"), (2, "b"), (2, None), (3, "out")]
+    leaves = deepest_tags(spark.createDataFrame(rows, "k INT, tag STRING"), nodes, pairs, "k")
+    assert sorted(map(tuple, leaves.collect()), key=str) == sorted([(1, "a"), (1, "c"), (None, "a"), (None, "b"), (2, "b")], key=str)
+    assert "SortMergeJoin" not in _plan(leaves) and "BroadcastHashJoin" not in _plan(leaves)
