@@ -53,6 +53,11 @@ ORDER = ["position", "timestamp", "rev", "body"]
 _REV = "try_variant_get(try_parse_json(product), '$.rev', 'bigint')"
 
 
+def _rev(events: DataFrame) -> str:
+    """SQL of the revision number, which a stored batch already holds."""
+    return "_rev" if "_rev" in events.columns else _REV
+
+
 def parse_events(lines: DataFrame, *carried: str) -> DataFrame:
     """Events from the text column ``line``; a line that is no JSON object of that shape keeps only ``line``."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
@@ -88,7 +93,7 @@ def refused_events(events: DataFrame, flavors: tuple[str, ...] | None = FLAVORS)
     named = F.length("code") > 0
     if flavors is not None:
         reason = reason.when(named & ~F.coalesce(F.col("flavor").isin(*flavors), F.lit(False)), F.lit("flavor"))
-    broken = (F.col("action") == "updated") & F.col("product").isNotNull() & F.expr(f"{_REV} IS NULL")
+    broken = (F.col("action") == "updated") & F.col("product").isNotNull() & F.expr(f"{_rev(events)} IS NULL")
     reason = reason.when(named & broken, F.lit("document"))
     return events.select("position", "code", reason.alias("reason"), line.alias("line")).filter("reason IS NOT NULL")
 
@@ -124,7 +129,7 @@ def capture_changes(routed: DataFrame) -> DataFrame:
     An update without a document, or with one that is no object with a ``rev``,
     changes nothing.
     """
-    rev = F.expr(_REV)
+    rev = F.expr(_rev(routed))
     wanted = routed.filter((F.col("stores") & rev.isNotNull()) | F.col("removes"))
     return wanted.select(
         "code", "flavor", "action", "timestamp", "position",
@@ -183,7 +188,8 @@ class FeedWriter:
         )
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        # Kept with the revision number, so that each document is parsed for it once.
+        batch = batch.withColumn("_rev", F.expr(f"CASE WHEN action = 'updated' THEN {_REV} END")).persist()
         try:
             known = batch if self.flavors is None else batch.filter(F.col("flavor").isin(*self.flavors))
             routed = route_events(known)

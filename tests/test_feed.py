@@ -241,3 +241,12 @@ def test_ties_in_the_stream_are_decided(spark, tmp_path):
         for k, e in enumerate(order):
             writer.apply(frame(spark, e), k)
         assert latest(writer, spark) == {("a", 9)}
+
+
+def test_stored_revision_numbers_are_not_parsed_again(spark):
+    events = frame(spark, event(1, product={"rev": 5}), event(2, product={"q": 1}))
+    plain = {(r.position, r.reason) for r in feed.refused_events(events).collect()}
+    held = events.withColumn("_rev", F.when(F.col("position") == 1, F.lit(5).cast("bigint")))
+    assert plain == {(r.position, r.reason) for r in feed.refused_events(held).collect()} == {(2, "document")}
+    assert "parse_json" not in feed.refused_events(held)._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.position, r.rev) for r in feed.capture_changes(feed.route_events(held)).collect()] == [(1, 5)]
