@@ -188,7 +188,8 @@ def to_decimal(v: str, precision: int = 10, scale: int = 3) -> str:
         f"WHEN 'BOOLEAN' THEN NULL "
         f"ELSE try_variant_get({v}, '$', 'decimal(38,18)') END"
     )
-    return let(exact, "d", exact_decimal("d", precision, scale))
+    # Most members are absent; for them the lambda, which is interpreted, is left out.
+    return f"CASE WHEN {v} IS NOT NULL THEN {let(exact, 'd', exact_decimal('d', precision, scale))} END"
 
 
 def exact_decimal(d: str, precision: int = 10, scale: int = 3) -> str:

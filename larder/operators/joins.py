@@ -46,13 +46,15 @@ def lookup_join(
     spread_by: Column | None = None,
     must_exist: bool = False,
     unknown: str | None = None,
+    hashed: bool = False,
 ) -> DataFrame:
     """Left join carrying ``columns`` of ``lookup`` (unique on its key) under ``prefix``.
 
     Spark picks broadcast or shuffle from the sizes it sees, and splits the
     partitions of hot keys at run time.  ``must_exist`` makes the job fail on a
     key that is set but unknown, inside the same pass; ``unknown`` names a flag
-    column for such keys instead.
+    column for such keys instead.  ``hashed`` is for a lookup that grows with the
+    facts: it goes to hash tables by partition, and wide facts are not sorted.
     """
     # A non-constant zero: a literal would be folded out of the join keys.
     zero = F.expr(f"CAST(pmod(hash(`{lookup_key}`), 1) AS INT)")
@@ -62,6 +64,8 @@ def lookup_join(
         F.lit(True).alias("_found"),
         *[F.col(c).alias(prefix + c) for c in columns],
     )
+    if hashed:
+        side = side.hint("shuffle_hash")
     spread_by = spread_by if spread_by is not None else F.xxhash64(*facts.columns)
     left = facts.withColumn(
         "_spread",

@@ -130,7 +130,7 @@ def _with_lookups(prices: DataFrame, proofs: DataFrame, locations: DataFrame, mu
     proofs = last_wins_rows(proofs.select("id", "pos", *proof_names), "id", "pos")
     locations = last_wins_rows(locations.select("id", "pos", *location_names), "id", "pos")
     spread = F.xxhash64("id", "product_code")
-    wide = lookup_join(prices, proofs, "proof_id", "id", proof_names, "proof_", spread, must_exist, "_no_proof")
+    wide = lookup_join(prices, proofs, "proof_id", "id", proof_names, "proof_", spread, must_exist, "_no_proof", hashed=True)
     return lookup_join(wide, locations, "location_id", "id", location_names, "location_", spread, must_exist, "_no_location")
 
 

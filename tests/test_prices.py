@@ -159,3 +159,13 @@ def test_strict_holds_for_every_selection(spark):
     for read in (lambda df: df.select("owner").collect(), lambda df: df.count()):
         with pytest.raises(Exception, match="bad proof: id"):
             read(strict(parse_proofs(lines), "proof"))
+
+
+def test_large_lookups_are_hashed_by_partition(spark):
+    """Neither side is sorted; rows without a key and with an unknown one stay."""
+    facts = spark.createDataFrame([(1, 10), (2, None), (3, 99)], "id INT, k INT")
+    lookup = spark.createDataFrame([(10, "x"), (11, "y")], "id INT, x STRING")
+    joined = lookup_join(facts, lookup, "k", "id", ["x"], "l_", F.xxhash64("id"), unknown="bad", hashed=True)
+    assert {tuple(r) for r in joined.select("id", "l_x", "bad").collect()} == {(1, "x", False), (2, None, False), (3, None, True)}
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Sort " not in plan
